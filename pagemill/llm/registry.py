@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import leaks, reading, repeats
+from pagemill.llm import leaks, reading, repeats, tokens
 from pagemill.llm.sql import SQL  # noqa: F401
 
 
@@ -22,6 +22,11 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeated(_table(spark, sf_dir, "pages"))
 
 
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of each document by byte_bpe_50k: doc_id, ids."""
+    return tokens.encode(_table(spark, sf_dir, "documents"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the test items they hold: doc_id, item_id."""
     return leaks.leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
@@ -45,6 +50,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_clean": p3_clean,
+    "p6_ids": p6_ids,
     "p7_found": p7_found,
     "p7_longest": p7_longest,
     "p7_clean": p7_clean,
