@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import leaks, reading, repeats, tokens
+from pagemill.llm import confusables, garbled, leaks, reading, repeats, tokens
 from pagemill.llm.sql import SQL  # noqa: F401
 
 
@@ -22,6 +22,26 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeated(_table(spark, sf_dir, "pages"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with wrongly decoded text: page_id."""
+    return garbled.found_pages(_table(spark, sf_dir, "pages"))
+
+
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page with its garbled text restored as far as it survived: page_id, text, n_restored."""
+    return garbled.restored_pages(_table(spark, sf_dir, "pages"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of visually identical differences on each page: page_id, form."""
+    return confusables.found_forms(_table(spark, sf_dir, "pages"))
+
+
+def p5_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page in its one form: page_id, text, skeleton_key."""
+    return confusables.normalized(_table(spark, sf_dir, "pages"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of each document by byte_bpe_50k: doc_id, ids."""
     return tokens.encode(_table(spark, sf_dir, "documents"))
@@ -50,6 +70,10 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_clean": p3_clean,
+    "p4_found": p4_found,
+    "p4_restored": p4_restored,
+    "p5_found": p5_found,
+    "p5_normalized": p5_normalized,
     "p6_ids": p6_ids,
     "p7_found": p7_found,
     "p7_longest": p7_longest,
