@@ -80,13 +80,15 @@ def script(char: str) -> int | None:
     return GREEK if 0x370 <= code < 0x400 else None
 
 
+@lru_cache(maxsize=100_000)
+def _plain(char: str) -> str:
+    k = kind(char)
+    return "" if k == "zero_width" else " " if k == "no_break_space" else unicodedata.normalize("NFKC", char) if k == "full_width" else char
+
+
 def _shape(text: str) -> str:
     """Compatibility forms to plain characters, invisible ones out, every space the ordinary one, accents composed."""
-    out = []
-    for c in text:
-        k = kind(c) if _RARE.match(c) else None
-        out.append("" if k == "zero_width" else " " if k == "no_break_space" else unicodedata.normalize("NFKC", c) if k == "full_width" else c)
-    return unicodedata.normalize("NFC", "".join(out))
+    return unicodedata.normalize("NFC", _RARE.sub(lambda m: _plain(m[0]), text)) if _RARE.search(text) else text
 
 
 def skeleton(text: str) -> str:

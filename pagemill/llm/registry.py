@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import confusables, garbled, leaks, reading, repeats, tokens
+from pagemill.llm import confusables, garbled, leaks, reading, repeats, scans, tokens
 from pagemill.llm.sql import SQL  # noqa: F401
 
 
@@ -12,6 +12,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of noise on each scanned page: page_id, noise."""
+    return scans.found_noise(_table(spark, sf_dir, "pages"))
+
+
+def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page, scanned ones as continuous corrected paragraphs: page_id, text."""
+    return scans.repaired(_table(spark, sf_dir, "pages"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of lines repeated within their source: page_id, line_no."""
     return repeats.repeated_lines(_table(spark, sf_dir, "pages"))
@@ -68,6 +78,8 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_repaired": p2_repaired,
     "p3_found": p3_found,
     "p3_clean": p3_clean,
     "p4_found": p4_found,
