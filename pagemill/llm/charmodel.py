@@ -46,13 +46,17 @@ def letter_bigrams(words: DataFrame) -> np.ndarray:
     return np.log(joint / joint.sum())
 
 
-def conditional(joint: np.ndarray) -> np.ndarray:
+def conditional(joint: np.ndarray) -> list[list[float]]:
     """Log-probability of the second letter given the first."""
     p = np.exp(joint)
-    return np.log(p / p.sum(1, keepdims=True))
+    return np.log(p / p.sum(1, keepdims=True)).tolist()
 
 
-def mean_score(word: str, cond: np.ndarray) -> float:
+def mean_score(word: str, cond: list[list[float]]) -> float:
     """Mean log-probability of a lower-case Cyrillic word's letters and its end."""
-    numbers = [0, *(NUMBER[c] for c in word), 0]
-    return float(np.mean([cond[a, b] for a, b in zip(numbers, numbers[1:])]))
+    before, total = 0, 0.0
+    for c in word:
+        now = NUMBER[c]
+        total += cond[before][now]
+        before = now
+    return (total + cond[before][0]) / (len(word) + 1)
