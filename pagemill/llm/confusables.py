@@ -33,8 +33,8 @@ _ROWS = [row.split() for row in LOOK_ALIKE.replace("\n", " ").split(",")]
 TO = {(a, b): {r[a]: r[b] for r in _ROWS if r[a] != "-" and r[b] != "-"} for a in range(3) for b in range(3) if a != b}
 PROTOTYPE = str.maketrans({r[k]: r[0] for r in _ROWS for k in (1, 2) if r[k] != "-"})
 
-#: Share of all pages on which a Latin word that could also be Cyrillic counts as a word of its own.
-GENUINE_SHARE = 0.005
+#: Share of all pages, and least number of them, on which a Latin word that could also be Cyrillic counts as a word of its own.
+GENUINE_SHARE, GENUINE_PAGES = 0.005, 20
 #: Times as often as the other original that a group's dominant original must stand.
 DOMINANT = 20
 #: Mean log-probability from which letters read as a Cyrillic word.
@@ -163,18 +163,19 @@ def judge_groups(words: DataFrame, n_pages: int, bigrams: np.ndarray) -> DataFra
     ``words``: word, n (pages). Grouped by skeleton, each group has at most one Latin and one Cyrillic original.
     """
     cond = charmodel.conditional(bigrams)
+    genuine = max(GENUINE_PAGES, GENUINE_SHARE * n_pages)
     latin_to, cyrillic_to = TO[LATIN, CYRILLIC], TO[CYRILLIC, LATIN]
 
     def run(batches):
         for batch in batches:
             out: list[tuple[str, str]] = []
             for latin, a, cyr, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if latin and a < GENUINE_SHARE * n_pages and a < DOMINANT * (b or 0) or latin and not b and a < GENUINE_SHARE * n_pages and len(latin) >= 3:
+                if latin and a < genuine and (b or len(latin) >= 3):
                     right = "".join(latin_to[c] for c in latin)
                     low = right.lower()
                     if b and b >= DOMINANT * a or len(latin) >= 3 and set(low) <= set(charmodel.LETTERS) and charmodel.mean_score(low, cond) > CYRILLIC_SCORE:
                         out.append((latin, right))
-                if cyr and a and a >= GENUINE_SHARE * n_pages and a >= DOMINANT * b:
+                if cyr and a and a >= genuine and a >= DOMINANT * b:
                     out.append((cyr, "".join(cyrillic_to[c] for c in cyr)))
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([r for _, r in out], pa.string())], names=["word", "right"])
 

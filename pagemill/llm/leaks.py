@@ -38,7 +38,7 @@ def suffix_array(tokens: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
     span = 1
     while span < depth:
         ahead = np.zeros(n, np.int64)
-        ahead[: n - span] = rank[span:]
+        ahead[: max(0, n - span)] = rank[span:]
         pair = rank * (int(rank.max()) + 1) + ahead
         rank = np.unique(pair, return_inverse=True)[1].astype(np.int64) + 1
         span *= 2
