@@ -142,18 +142,16 @@ def repair_text(text: Column) -> Column:
 
 
 def readability(text: Column) -> tuple[Column, Column]:
-    """Share of Cyrillic letters among letters, and share of odd tokens (no Cyrillic lower-case vowel) among tokens of three letters up.
+    """Share of Cyrillic letters among letters, and of odd tokens (four word characters up, no vowel) among tokens.
 
-    An empty text has (0, 1).
+    A text without letters has (0, 1). Upper-case Cyrillic vowels do not count as vowels.
     """
-    letters = F.regexp_count(text, F.lit(rx(f"[{P.LETTER}]")))
+    letters = F.coalesce(F.regexp_count(text, F.lit(f"[{P.LETTER}]")), F.lit(0))
     cyrillic = F.regexp_count(text, F.lit("[а-яА-ЯёЁ]"))
-    tokens = F.regexp_extract_all(text, F.lit(f"[{P.LETTER}]{{3,}}"), F.lit(0))
-    odd = F.size(F.filter(tokens, lambda t: ~t.rlike("[аеёиоуыэюяaeiouy]")))
-    return (
-        F.when(F.coalesce(letters, F.lit(0)) == 0, 0.0).otherwise(cyrillic / letters),
-        F.when(F.coalesce(F.length(strip(text)), F.lit(0)) == 0, 1.0).when(F.size(tokens) == 0, 0.0).otherwise(odd / F.size(tokens)),
-    )
+    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rx(r"\S+")), F.lit(0))
+    cores = F.transform(tokens, lambda t: F.regexp_replace(t, r"[^\p{L}\p{N}_]", ""))
+    odd = F.size(F.filter(cores, lambda c: (F.length(c) >= 4) & ~c.rlike("[аеёиоуыэюяAEIOUYaeiouy]")))
+    return F.when(letters == 0, 0.0).otherwise(cyrillic / letters), F.when(letters == 0, 1.0).otherwise(odd / F.greatest(F.size(tokens), F.lit(1)))
 
 
 # --- predicates ----------------------------------------------------------------------------------------------------
