@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import full_lines, line_key, strip
+from pagemill.functions.text import full_lines, line_key, split_lines, strip
 from pagemill.storage import Scratch
 
 #: Rounds at either end, share of the pages, and the length of a line that may be a running one.
@@ -53,8 +53,10 @@ def strip_running(pages: DataFrame, rounds: int = ROUNDS, fraction: float = MIN_
                 break
     cuts = state.filter("h + f > 0").select("page_id", "h", "f")
     out = pages.select("page_id", "source_id", "page", "text").join(cuts, "page_id", "left")
-    rest = F.expr(r"regexp_replace(text, concat('(?d)\\A(?:\\s*[^\\n]*\\S[^\\n]*(?:\\n|\\z)){', h, '}'), '')")
-    rest = F.regexp_replace(strip(rest), F.concat(F.lit(r"(?d)(?:(?:\n|\A)[^\n]*\S[^\n]*\s*){"), F.col("f").cast("string"), F.lit(r"}\z")), F.lit(""))
-    rest = strip(rest)
+    out = out.withColumn("lines", split_lines(F.coalesce("text", F.lit(""))))
+    full = F.filter(F.transform("lines", lambda s, i: F.when(strip(s) != "", i)), lambda i: i.isNotNull())
+    first = F.when(F.col("h") > 0, F.get(full, F.col("h") - 1) + 1).otherwise(0)
+    last = F.when(F.col("f") > 0, F.get(full, F.size(full) - F.col("f"))).otherwise(F.size("lines"))
+    rest = strip(F.array_join(F.slice("lines", first + 1, F.greatest(last - first, F.lit(0))), "\n"))
     kept = F.when(F.col("h").isNull() | (rest == ""), F.col("text")).otherwise(rest)
     return out.select("page_id", "source_id", "page", kept.alias("text"), F.coalesce("h", F.lit(0)).alias("n_head"), F.coalesce("f", F.lit(0)).alias("n_foot"))
