@@ -36,6 +36,11 @@ def full_lines(text: Column, separator: str = "\n") -> Column:
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def has(text: Column, pattern: str) -> Column:
     return F.coalesce(text.rlike(rx(pattern)), F.lit(False))
 
@@ -235,17 +240,18 @@ def is_upper(text: Column) -> Column:
 
 def is_header(text: Column) -> Column:
     """Whether a block reads as a heading: a list of exclusions, then the forms headings have."""
-    t = strip(join_hyphens(text))
-    lines = full_lines(t)
-    out = (
-        (t == "") | (F.length(t) > 250) | (F.size(lines) > 5) | F.exists(lines, lambda s: s.rlike(rx(P.TOC_LINE))) | F.lower(t).startswith("таблица")
-        | ((F.length(t) < 40) & has(t, rf"\A{P.HEADER_NOISE}\z")) | starts(t, "[а-яёa-z]") | is_formula(t)
-        | F.lower(t).startswith("где ") | F.lower(t).startswith("в котором ")
-    )
-    upper = is_upper(t) & (F.length(t) < 150)
-    numbered = starts(t, P.NUMBERED_POINT)
-    form = starts(t, P.MULTI_LEVEL) | starts(t, P.ROMAN_SECTION) | starts(t, P.SECTION_KEYWORD) | ((F.length(t) > 10) & (F.length(t) < 100) & ~has(t, r"[.:;!?]\z"))
-    return F.coalesce(~out & (upper | (~numbered & form)), F.lit(False))
+
+    def judge(t: Column) -> Column:
+        lines = full_lines(t)
+        out = (
+            (t == "") | (F.length(t) > 250) | F.lower(t).startswith("таблица") | ((F.length(t) < 40) & has(t, rf"\A{P.HEADER_NOISE}\z")) | starts(t, "[а-яёa-z]") | is_formula(t)
+            | F.lower(t).startswith("где ") | F.lower(t).startswith("в котором ") | bind(lines, lambda v: (F.size(v) > 5) | F.exists(v, lambda s: s.rlike(rx(P.TOC_LINE))))
+        )
+        upper = is_upper(t) & (F.length(t) < 150)
+        form = starts(t, P.MULTI_LEVEL) | starts(t, P.ROMAN_SECTION) | starts(t, P.SECTION_KEYWORD) | ((F.length(t) > 10) & (F.length(t) < 100) & ~has(t, r"[.:;!?]\z"))
+        return ~out & (upper | (~starts(t, P.NUMBERED_POINT) & form))
+
+    return F.coalesce(bind(strip(join_hyphens(text)), judge), F.lit(False))
 
 
 def header_level(text: Column) -> Column:
@@ -255,15 +261,12 @@ def header_level(text: Column) -> Column:
     return F.when(number != "", F.size(F.split(number, r"\."))).when(starts(t, P.ROMAN_SECTION) | starts(F.lower(t), "приложение|глава|раздел|часть"), 1)
 
 
-def classify(text: Column) -> Column:
-    """struct(block_type, block_level, confidence) of a block; the first rule that holds decides."""
-    t = strip(F.coalesce(text, F.lit("")))
-    lines = full_lines(t)
-    n, piped = F.size(lines), pipe_rows(full_lines(t))
+def _kind(t: Column, lines: Column, n: Column, piped: Column) -> Column:
     body = full_lines(strip(F.regexp_replace(t, rx(r"(?i)\A\s*\[таблица\]\s*"), "")))
     digits = F.regexp_count(t, F.lit(rx(r"\d"))) / F.greatest(F.length(t), F.lit(1))
     short = F.size(F.filter(lines, lambda s: F.length(s) < 40)) / F.greatest(n, F.lit(1))
     items = F.size(F.filter(lines, lambda s: s.rlike(rx(rf"\A{P.LIST_ITEM}"))))
+    labelled = bind(body, lambda b: (F.size(b) > 0) & (pipe_rows(b) >= F.greatest(F.lit(2), F.floor(F.size(b) * 0.45))))
     rules = [
         (t == "", "other", 0.0),
         (is_formula(t), "formula", 0.95),
@@ -271,7 +274,7 @@ def classify(text: Column) -> Column:
         (piped == n, "table", 0.76),
         ((n >= 3) & (piped >= F.greatest(F.lit(3), F.floor(n * 0.55))), "table", 0.82),
         ((n >= 2) & (piped >= 2) & (piped >= F.floor(n * 0.4)), "table", 0.78),
-        (F.lower(t).startswith("[таблица]") & (F.size(body) > 0) & (pipe_rows(body) >= F.greatest(F.lit(2), F.floor(F.size(body) * 0.45))), "table", 0.88),
+        (F.lower(t).startswith("[таблица]") & labelled, "table", 0.88),
         ((n > 4) & (short > 0.6) & (digits > 0.05) & (piped >= 2), "table", 0.7),
         ((n > 2) & (items / F.greatest(n, F.lit(1)) >= 0.5), "list", 0.8),
         (F.regexp_count(t, F.lit(rx(r"\n\s*\d+\)\s+"))) >= 2, "list", 0.75),
@@ -280,10 +283,19 @@ def classify(text: Column) -> Column:
         ((F.length(t) > 60) & (dangling_start(t) | dangling_end(t)), "paragraph", 0.7),
         (F.length(t) > 60, "paragraph", 0.9),
     ]
-    kind, conf = F.lit("other"), F.lit(0.5)
+    out = F.struct(F.lit("other").alias("block_type"), F.lit(0.5).alias("confidence"))
     for test, name, value in reversed(rules):
-        kind, conf = F.when(test, name).otherwise(kind), F.when(test, value).otherwise(conf)
-    return F.struct(kind.alias("block_type"), F.when(kind == "header", header_level(t)).alias("block_level"), conf.alias("confidence"))
+        out = F.when(test, F.struct(F.lit(name).alias("block_type"), F.lit(value).alias("confidence"))).otherwise(out)
+    return out
+
+
+def classify(text: Column) -> Column:
+    """struct(block_type, block_level, confidence) of a block; the first rule that holds decides."""
+    seen = bind(strip(F.coalesce(text, F.lit(""))), lambda t: F.struct(t.alias("t"), full_lines(t).alias("lines")))
+    seen = bind(seen, lambda v: F.struct(v["t"].alias("t"), v["lines"].alias("lines"), F.size(v["lines"]).alias("n"), pipe_rows(v["lines"]).alias("piped")))
+    kind = bind(seen, lambda v: F.struct(v["t"].alias("t"), _kind(v["t"], v["lines"], v["n"], v["piped"]).alias("k")))
+    level = lambda v: F.when(v["k"]["block_type"] == "header", header_level(v["t"]))
+    return bind(kind, lambda v: F.struct(v["k"]["block_type"].alias("block_type"), level(v).alias("block_level"), v["k"]["confidence"].alias("confidence")))
 
 
 def quality_flags(text: Column, block_type: Column, confidence: Column) -> Column:

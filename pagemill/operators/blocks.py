@@ -173,12 +173,17 @@ def blocks_of(text: str, least: int = MIN_CHARS, most: int = MAX_CHARS, overlap:
     return [b for b in out if b.strip()]
 
 
+def blocks_of_page(text: str | None, most: int = MAX_CHARS, overlap: int = OVERLAP) -> list[str]:
+    """Blocks of a page as it was read: normalised, points broken off, rows repaired."""
+    return blocks_of(repair_rows(break_points(normalize(text))), MIN_CHARS, most, overlap) if text else []
+
+
 def page_blocks(text: Column, most: int = MAX_CHARS, overlap: int = OVERLAP) -> Column:
     """array<string> of a page's blocks; null and blank texts have none."""
 
     @F.pandas_udf("array<string>")
     def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: blocks_of(repair_rows(break_points(normalize(t))), MIN_CHARS, most, overlap) if t else [])
+        return texts.map(lambda t: blocks_of_page(t, most, overlap))
 
     return split(text)
 

@@ -6,16 +6,17 @@ fold runs once per heading and what follows it, not once per document, and a doc
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions import rules as R
 from pagemill.functions import text as X
-from pagemill.operators.blocks import MAX_CHARS, OVERLAP, page_blocks
-from pagemill.operators.ordered import carry_last
+from pagemill.operators.blocks import MAX_CHARS, OVERLAP, blocks_of_page
+from pagemill.operators.ordered import carry_last, fold_groups
 
 #: Characters up to which pieces of one table are put together again.
 TABLE_CHARS = 500_000
@@ -123,6 +124,23 @@ _FOLDED = (
 )
 
 
+def _cut_pages(most: int, overlap: int):
+    """Blocks of each page, with a mark on those at which no earlier one can go on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, page, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for idx, block in enumerate(blocks_of_page(text, most, overlap)):
+                    head = R.classify(block).block_type == "header" and not (idx == 0 and R.dangling_start(block))
+                    out.append((doc, page, idx, block, head))
+            columns = list(zip(*out)) if out else [[]] * 5
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["doc_id", "page", "idx", "text", "head"])
+
+    return run
+
+
 def structural_chunks(pages: DataFrame, most: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
     """Pages (source_id, page, text) to chunks: chunk_id, doc_id, page, page_end, section_title, text, entities, source_ref, block_type,
     block_level, parent_header_id, structure_confidence, is_continuation, is_truncated, needs_review.
@@ -132,21 +150,15 @@ def structural_chunks(pages: DataFrame, most: int = MAX_CHARS, overlap: int = OV
     """
     one = pages.select(F.col("source_id").alias("doc_id"), F.col("page").cast("int").alias("page"), "text").filter("doc_id is not null and page is not null")
     one = one.groupBy("doc_id", "page").agg(F.min("text").alias("text"))
-    rows = one.select("doc_id", "page", F.posexplode(page_blocks(F.col("text"), most, overlap)).alias("idx", "text"))
-    kind = X.classify(F.col("text"))["block_type"]
-    rows = rows.withColumn("head", (kind == "header") & ~((F.col("idx") == 0) & X.dangling_start(F.col("text"))))
+    rows = one.mapInArrow(_cut_pages(most, overlap), "doc_id string, page int, idx int, text string, head boolean")
     rows = carry_last(rows, F.when(F.col("head"), F.struct("page", "idx")), "run", inclusive=True)
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["page", "idx"])
-        doc = group["doc_id"].iloc[0]
-        done = merge_rows(list(zip(group["page"].tolist(), group["idx"].tolist(), group["text"])), most)
-        return pd.DataFrame(
-            [(doc, p.page, p.idx, p.end, p.text, p.kind.block_type, p.kind.level, p.kind.confidence, *p.marks, p.swallowed) for p in done],
-            columns=[c.split()[0] for c in _FOLDED.split(", ")],
-        ).astype({"block_level": "Int32"})
+    def fold(group: list[dict]) -> list[tuple]:
+        done = merge_rows([(r["page"], r["idx"], r["text"]) for r in group], most)
+        return [(group[0]["doc_id"], p.page, p.idx, p.end, p.text, *p.kind, *p.marks, p.swallowed) for p in done]
 
-    folded = rows.groupBy("doc_id", F.col("run.page").alias("run_page"), F.col("run.idx").alias("run_idx")).applyInPandas(fold, _FOLDED)
+    rows = rows.select("doc_id", F.col("run.page").alias("run_page"), F.col("run.idx").alias("run_idx"), "page", "idx", "text")
+    folded = fold_groups(rows, ["doc_id", "run_page", "run_idx"], ["page", "idx"], fold, _FOLDED)
     shifted = folded.select("doc_id", F.explode("swallowed").alias("page")).distinct().withColumn("shift", F.lit(1))
     out = folded.join(shifted, ["doc_id", "page"], "left").withColumn("idx", F.col("idx") - F.coalesce("shift", F.lit(0)))
     out = out.withColumn("chunk_id", F.format_string("%s:p%d:b%d", "doc_id", "page", "idx"))
@@ -180,8 +192,7 @@ def enrich(chunks: DataFrame) -> DataFrame:
     if "formula_vars" not in rows.columns:
         rows = rows.withColumn("formula_vars", F.lit(None).cast("string"))
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        todo = group.sort_values("idx").to_dict("records")
+    def fold(todo: list[dict]) -> list[tuple]:
         out: list[dict] = []
         skip = False
         for row, after in zip(todo, [*todo[1:], None]):
@@ -197,12 +208,10 @@ def enrich(chunks: DataFrame) -> DataFrame:
                 out[-1]["entities"] = [*out[-1]["entities"], *row["entities"]]
                 continue
             out.append(row)
-        result = pd.DataFrame(out, columns=group.columns)
-        result["block_level"] = result["block_level"].astype("Int32")
-        return result
+        return [tuple(r.values()) for r in out]
 
     kinds = ["formula", "list"]
     busy = rows.filter(F.col("block_type").isin(kinds)).select("doc_id", "page").distinct()
     folded = rows.join(busy, ["doc_id", "page"], "left_semi")
-    folded = folded.groupBy("doc_id", "page").applyInPandas(fold, folded.schema)
+    folded = fold_groups(folded, ["doc_id", "page"], ["idx"], fold, folded.schema)
     return rows.join(busy, ["doc_id", "page"], "left_anti").unionByName(folded).drop("idx")

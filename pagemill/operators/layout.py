@@ -7,11 +7,11 @@ spreads over pages.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as X
+from pagemill.operators.ordered import fold_groups
 
 PAGE = ["source_id", "page"]
 # Labels that carry text, thresholds of the detections, and how columns, lines and table cells are told apart.
@@ -57,21 +57,21 @@ def box_pairs(boxes: DataFrame) -> DataFrame:
 
 def unique_formulas(boxes: DataFrame) -> DataFrame:
     """Boxes with one detection per formula: the surest is kept, others that coincide with a kept one go. Other labels stay."""
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        kept: list = []
-        for b in group.sort_values(["conf", "box_ord"], ascending=[False, True]).itertuples():
-            size = max(1, (b.x2 - b.x1) * (b.y2 - b.y1))
+    def keep(group: list[dict]) -> list[tuple]:
+        kept: list[dict] = []
+        for b in sorted(group, key=lambda b: (-b["conf"], b["box_ord"])):
+            size = max(1, (b["x2"] - b["x1"]) * (b["y2"] - b["y1"]))
             for k in kept:
-                shared = max(0, min(b.x2, k.x2) - max(b.x1, k.x1)) * max(0, min(b.y2, k.y2) - max(b.y1, k.y1))
-                other = max(1, (k.x2 - k.x1) * (k.y2 - k.y1))
+                shared = max(0, min(b["x2"], k["x2"]) - max(b["x1"], k["x1"])) * max(0, min(b["y2"], k["y2"]) - max(b["y1"], k["y1"]))
+                other = max(1, (k["x2"] - k["x1"]) * (k["y2"] - k["y1"]))
                 if shared and (shared / (size + other - shared) >= SAME_IOU or shared / min(size, other) >= MOSTLY_INSIDE):
                     break
             else:
                 kept.append(b)
-        return group[group["box_ord"].isin([k.box_ord for k in kept])]
+        return [tuple(b.values()) for b in kept]
 
     formulas = boxes.filter(F.col("label") == FORMULA)
-    return boxes.filter(F.col("label") != FORMULA).unionByName(formulas.groupBy(*PAGE).applyInPandas(keep, boxes.schema))
+    return boxes.filter(F.col("label") != FORMULA).unionByName(fold_groups(formulas, PAGE, ["box_ord"], keep, boxes.schema))
 
 
 def usable_boxes(boxes: DataFrame) -> DataFrame:
@@ -147,22 +147,21 @@ def box_lines(words: DataFrame) -> DataFrame:
     """source_id, page, box_ord, line, text of recognised words: a word joins the line whose running mean height is near enough."""
     gaps = line_gaps(words)
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        lines: list[list] = []
+    def fold(group: list[dict]) -> list[tuple]:
+        lines: list[list[dict]] = []
         mean = 0.0
-        gap = group["gap"].iloc[0]
-        for w in group.sort_values(["cy", "cx"]).itertuples():
-            if lines and abs(w.cy - mean) <= gap:
+        for w in group:
+            if lines and abs(w["cy"] - mean) <= w["gap"]:
                 lines[-1].append(w)
-                mean += (w.cy - mean) / len(lines[-1])
+                mean += (w["cy"] - mean) / len(lines[-1])
             else:
                 lines.append([w])
-                mean = w.cy
-        key = [group["source_id"].iloc[0], group["page"].iloc[0], group["box_ord"].iloc[0]]
-        return pd.DataFrame([[*key, i, " ".join(w.text for w in sorted(line, key=lambda w: w.cx))] for i, line in enumerate(lines)], columns=["source_id", "page", "box_ord", "line", "text"])
+                mean = w["cy"]
+        key = tuple(group[0][k] for k in (*PAGE, "box_ord"))
+        return [(*key, i, " ".join(w["text"] for w in sorted(line, key=lambda w: w["cx"]))) for i, line in enumerate(lines)]
 
     rows = words.filter("box_ord is not null").join(gaps, [*PAGE, "box_ord"]).select(*PAGE, "box_ord", "cx", "cy", "text", "gap")
-    return rows.groupBy(*PAGE, "box_ord").applyInPandas(fold, "source_id string, page int, box_ord int, line int, text string")
+    return fold_groups(rows, [*PAGE, "box_ord"], ["cy", "cx", "text"], fold, "source_id string, page int, box_ord int, line int, text string")
 
 
 def box_texts(words: DataFrame) -> DataFrame:
@@ -205,12 +204,12 @@ def table_from_words(words: list[tuple[float, float, str, float, float]]) -> str
 
 def word_tables(words: DataFrame) -> DataFrame:
     """source_id, page, box_ord, text: :func:`table_from_words` of each box."""
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        text = table_from_words(list(zip(group["cx"], group["cy"], group["text"], group["x_min"], group["x_max"])))
-        return pd.DataFrame({"source_id": group["source_id"].iloc[:1], "page": group["page"].iloc[:1], "box_ord": group["box_ord"].iloc[:1], "text": [f"[Таблица]\n{text}"]})
+    def fold(group: list[dict]) -> list[tuple]:
+        text = table_from_words([(w["cx"], w["cy"], w["text"], w["x_min"], w["x_max"]) for w in group])
+        return [(*(group[0][k] for k in (*PAGE, "box_ord")), f"[Таблица]\n{text}")]
 
     rows = words.filter("box_ord is not null").select(*PAGE, "box_ord", "cx", "cy", "text", "x_min", "x_max")
-    return rows.groupBy(*PAGE, "box_ord").applyInPandas(fold, "source_id string, page int, box_ord int, text string")
+    return fold_groups(rows, [*PAGE, "box_ord"], ["cy", "cx", "text"], fold, "source_id string, page int, box_ord int, text string")
 
 
 def page_texts(blocks: DataFrame) -> DataFrame:

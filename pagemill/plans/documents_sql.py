@@ -115,11 +115,11 @@ SQL = {
   greatest(1, (a.x2 - a.x1) * (a.y2 - a.y1)) as aa, greatest(1, (b.x2 - b.x1) * (b.y2 - b.y1)) as ab from b a join b on a.page = b.page and a.box_ord < b.box_ord)
  select page, a, b, round(case when s > 0 then s * 1.0 / greatest(1, aa + ab - s) else 0.0 end, 6) as iou, round(s * 1.0 / aa, 6) as a_in_b, round(s * 1.0 / ab, 6) as b_in_a from p""",
     "reading_order": f"""with b as ({_BOXES}), m as (select *, (x1 + x2) / 2.0 as c, count(*) over (partition by page) as n from b),
- t as (select *, n >= 6 and sum(case when c < 800 * 0.42 then 1 else 0 end) over (partition by page) >= greatest(3, floor(n * 0.22)) and sum(case when c > 800 * 0.58 then 1 else 0 end) over (partition by page) >= greatest(3, floor(n * 0.22)) as two_columns from m)
+ t as (select *, n >= 6 and sum(case when c < cast(800 as double) * cast(0.42 as double) then 1 else 0 end) over (partition by page) >= greatest(3, floor(n * 0.22)) and sum(case when c > cast(800 as double) * cast(0.58 as double) then 1 else 0 end) over (partition by page) >= greatest(3, floor(n * 0.22)) as two_columns from m)
  select page, box_ord, two_columns, cast(row_number() over (partition by page order by case when two_columns and c >= 400 then 1 else 0 end, y1, x1, box_ord) as integer) as position from t""",
     "line_gaps": f"""with w as ({_WORDS}), y as (select distinct page, round(cy, 1) as y from w), s as (select page, lead(y) over (partition by page order by y) - y as step from y),
  r as (select page, step, row_number() over (partition by page order by step) - 1 as i, count(*) over (partition by page) as n from s where step > 0.5)
- select p.page, cast(coalesce(greatest(7, least(26, floor(r.step * 0.55))), 10) as integer) as gap from (select distinct page from y) p left join r on r.page = p.page and r.i = floor(r.n / 4)""",
+ select p.page, cast(case when r.step is null then 10 else greatest(7, least(26, floor(r.step * 0.55))) end as integer) as gap from (select distinct page from y) p left join r on r.page = p.page and r.i = floor(r.n / 4)""",
     "orientations": """with s as (select cast(l_suppkey % 500 as integer) as page, cast(l_linenumber % 4 * 90 as integer) as angle, sum(length('t' || l_partkey) * (l_quantity / 50) * case when l_linenumber % 4 in (2, 3) then 0.95 else 1.0 end) as score
   from lineitem where l_quantity / 50 > 0.4 group by 1, 2)
  select page, angle, round(score, 4) as score from (select *, row_number() over (partition by page order by score desc, angle) as i from s) where i = 1""",
@@ -127,7 +127,7 @@ SQL = {
  group by 1 having count(*) > 15 and avg(case when l_quantity / 50 >= 0.4 then 1 else 0 end) < 0.4""",
     "skews": """select cast(l_suppkey % 500 as integer) as page, median(l_quantity % 40 - 18) as skew from lineitem where abs(l_quantity % 40 - 18) < 15 and l_quantity % 40 - 18 <> 0 group by 1 having abs(median(l_quantity % 40 - 18)) > 0.5""",
     "sheet_pages": r"""with i as (select 'ORD-' || l_orderkey as source_id, ascii(l_returnflag) as sheet_idx, l_returnflag as sheet, l_linenumber as r, '| ' || l_partkey || ' | ' || cast(l_quantity as integer) || ' | ' || l_linestatus || '\|' || l_returnflag || ' |' as line from lineitem where l_orderkey is not null)
- select source_id, cast(row_number() over (partition by source_id order by sheet_idx) as integer) as page, '# Лист: ' || sheet || chr(10) || chr(10) || '[Таблица]' || chr(10) || '| part | quantity | status |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg(line, chr(10) order by r) as text
+ select source_id, cast(row_number() over (partition by source_id order by sheet_idx) as integer) as page, '# Лист: ' || sheet || chr(10) || chr(10) || '[Таблица]' || chr(10) || '| part | quantity | status |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg(line, chr(10) order by r, line) as text
  from i group by source_id, sheet_idx, sheet""",
     "normalize_text": _C
     + rf""" select chunk_id, regexp_replace(regexp_replace(text, '(?m)^(\d{{1,3}}),\s+([а-яА-ЯёЁa-zA-Z])', '\1. \2', 'g'), '\s+([,.;:])', '\1', 'g') as normal,
