@@ -1,7 +1,8 @@
 """Blocks of pages to linked chunks.
 
-Merging across blocks depends on the text merged so far, so it is an ordered fold. A heading ends every chain, though: the
-fold runs once per heading and what follows it, not once per document, and a document of any size spreads over the cluster.
+Merging across blocks depends on the text merged so far, so it is an ordered fold. A block that is neither a continuation nor
+part of a table never goes to an earlier one, though: the fold runs once per such block and what continues it, not once
+per document, and a document of any size spreads over the cluster.
 """
 
 from __future__ import annotations
@@ -125,14 +126,14 @@ _FOLDED = (
 
 
 def _cut_pages(most: int, overlap: int):
-    """Blocks of each page, with a mark on those at which no earlier one can go on."""
+    """Blocks of each page, with a mark on those that can't go on from an earlier one: neither a continuation nor part of a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for doc, page, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for idx, block in enumerate(blocks_of_page(text, most, overlap)):
-                    head = R.classify(block).block_type == "header" and not (idx == 0 and R.dangling_start(block))
+                    head = not (R.dangling_start(block) or R.is_table_fragment(block) or R.classify(block).block_type == "table")
                     out.append((doc, page, idx, block, head))
             columns = list(zip(*out)) if out else [[]] * 5
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_())

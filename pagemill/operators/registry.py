@@ -129,8 +129,14 @@ def cleaned_up(rows: DataFrame, column: str = "doc_id", prefix: str = "API-") ->
     return rows.filter(~gone), rows.filter(gone).select(column).distinct()
 
 
-def responses(chunks: DataFrame) -> DataFrame:
-    """doc_id, n_chunks, chunks: per document an ordered array of its chunks. For single documents or export, not for analysis."""
-    order = F.struct("page", F.regexp_extract("chunk_id", r":b(\d+)$", 1).cast("int").alias("idx"), "chunk_id", "text", "block_type")
-    out = chunks.dropDuplicates(["chunk_id"]).groupBy("doc_id").agg(F.array_sort(F.collect_list(order)).alias("chunks"))
-    return out.select("doc_id", F.size("chunks").alias("n_chunks"), F.transform("chunks", lambda c: F.struct(c["chunk_id"].alias("chunk_id"), c["block_type"].alias("block_type"), c["text"].alias("text"))).alias("chunks"))
+def response(chunks: DataFrame, doc_id: str) -> DataFrame:
+    """The chunks of one document in order, each once: chunk_id, page, block_type, section_title, text."""
+    own = chunks.filter(F.col("doc_id") == doc_id).dropDuplicates(["chunk_id"])
+    return own.orderBy("page", F.regexp_extract("chunk_id", r":b(\d+)$", 1).cast("int"), "chunk_id").select("chunk_id", "page", "block_type", "section_title", "text")
+
+
+def response_sizes(chunks: DataFrame) -> DataFrame:
+    """doc_id, n_chunks, first_chunk, last_chunk of each document's response, without assembling it."""
+    order = F.struct("page", F.regexp_extract("chunk_id", r":b(\d+)$", 1).cast("int"), "chunk_id")
+    one = chunks.select("doc_id", "chunk_id", "page").distinct()
+    return one.groupBy("doc_id").agg(F.count("*").cast("int").alias("n_chunks"), F.min_by("chunk_id", order).alias("first_chunk"), F.max_by("chunk_id", order).alias("last_chunk"))

@@ -69,8 +69,7 @@ def clean_up(spark, sf_dir):
 
 
 def response_sizes(spark, sf_dir):
-    out = registry.responses(_table(spark, sf_dir, "structural_chunks"))
-    return out.select("doc_id", "n_chunks", F.get("chunks", F.lit(0))["chunk_id"].alias("first_chunk"), F.element_at("chunks", -1)["chunk_id"].alias("last_chunk"))
+    return registry.response_sizes(_table(spark, sf_dir, "structural_chunks"))
 
 
 # --- text rules ----------------------------------------------------------------------------------------------------

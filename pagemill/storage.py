@@ -29,12 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local}"
 
 
+def at_end(spark: SparkSession, path: str) -> None:
+    """Has the path deleted when the driver's JVM ends; until then results may still be read from it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+
+
 class Scratch:
     """Tables of one operator run. ``cut`` materialises, ``drop`` frees the disk of rounds no longer needed."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        at_end(spark, self.base)
         self._n = 0
         self._paths: dict[int, str] = {}
 

@@ -44,8 +44,8 @@ def test_documents(spark):
     kept, gone = registry.cleaned_up(rows)
     assert kept.count() == 3 and [r.doc_id for r in gone.collect()] == ["API-1"]
     assert [r.doc_id for r in registry.documents(rows).collect()] == ["API-1", "b"]
-    one = registry.responses(rows).filter("doc_id = 'b'").first()
-    assert [c.chunk_id for c in one.chunks] == ["b:p1:b2", "b:p1:b10"]
+    assert [r.chunk_id for r in registry.response(rows.withColumn("section_title", F.lit("")), "b").collect()] == ["b:p1:b2", "b:p1:b10"]
+    assert sorted(map(tuple, registry.response_sizes(rows.filter("doc_id = 'b'")).collect())) == [("b", 2, "b:p1:b2", "b:p1:b10")]
 
 
 # --- carry and running lines ---------------------------------------------------------------------------------------
