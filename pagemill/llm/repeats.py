@@ -18,13 +18,12 @@ from pagemill.storage import Scratch
 BROADCAST_BYTES = 64 << 20
 
 #: White space cut off at both ends of a line: fixed values of Unicode's White_Space property and the separators U+001C-U+001F.
-SPACE = "\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def line_key(line: Column) -> Column:
     """What equal lines share: outer white space cut, blank runs as one blank, case ignored, digit runs as one ``0``."""
-    text = F.regexp_replace(line, f"^[{SPACE}]+|[{SPACE}]+$", "")
-    text = F.regexp_replace(text, "[ \\t]+", " ")
+    text = F.regexp_replace(F.btrim(line, F.lit(SPACE)), "[ \\t]{2,}|\\t", " ")
     return F.regexp_replace(F.lower(text), "[0-9]+", "0")
 
 
@@ -32,7 +31,7 @@ def page_lines(pages: DataFrame, min_letters: int = 0) -> DataFrame:
     """One row per line of each page: page_id, source_id, page, line_no from 1, line."""
     lines = pages.select("page_id", "source_id", "page", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
     if min_letters:
-        lines = lines.filter(F.length("line") >= min_letters).filter(F.length(F.regexp_replace("line", "\\P{L}+", "")) >= min_letters)
+        lines = lines.filter(F.length("line") >= min_letters).filter(F.col("line").rlike(f"(?s)(?:\\P{{L}}*+\\p{{L}}){{{min_letters}}}"))
     return lines.select("page_id", "source_id", "page", (F.col("i") + 1).alias("line_no"), "line")
 
 
