@@ -61,7 +61,20 @@ _BOXES = """select cast(l_orderkey as integer) as page, cast(l_linenumber as int
   cast(l_partkey % 600 + 20 + l_quantity * 8 as integer) as x2, cast(l_suppkey * 37 % 800 + 10 + l_quantity * 4 as integer) as y2 from lineitem"""
 _WORDS = """select cast(l_orderkey as integer) as page, cast(l_linenumber as integer) as word_ord, cast(l_partkey * 7 % 700 as double) as cx, cast(l_suppkey * 53 % 900 as double) as cy from lineitem"""
 
+_WS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_LATIN = "".join(chr(b) for b in range(0x80, 0x100) if b != 0x98)
+_CP1251 = bytes(b for b in range(0x80, 0x100) if b != 0x98).decode("cp1251")
+
 SQL = {
+    "source_profiles": rf"""with one as (select source_id, page, max(length(regexp_replace(coalesce(text, ''), '^{_WS}+|{_WS}+$', '', 'g'))) as chars from pages where source_id is not null group by 1, 2),
+ p as (select source_id, count(page) as page_count, coalesce(avg(case when page <= 5 then chars end), 0.0) as r from one group by 1)
+ select source_id, page_count, round(r, 6) as text_ratio, r > 50 as has_text_layer from p""",
+    "mojibake_tokens": rf"""with t as (select unnest(regexp_split_to_array(text, '[ \n\t]+')) as token from pages where text is not null),
+ m as (select token, count(*) as n, translate(token, '{_LATIN}', '{_CP1251}') as fixed from t where not regexp_matches(token, '[а-яА-ЯёЁ]') and regexp_matches(token, '[À-ÿ]') group by 1)
+ select token, case when not regexp_matches(token, '[^\x00-\x{{ff}}]') and not contains(token, chr(152)) and regexp_matches(fixed, '[а-яА-ЯёЁ]') then fixed else token end as repaired, n from m""",
+    "item_pages": _C
+    + rf""", t as (select doc_id as source_id, page, cast(regexp_extract(chunk_id, ':b(\d+)$', 1) as integer) as idx, array_to_string({ls("replace(text, chr(65533), ' ')")}, chr(10)) as text from c where coalesce(block_type, '') <> 'header')
+ select source_id, page, string_agg(text, chr(10) || chr(10) order by idx) as text from t where text <> '' group by 1, 2""",
     "registry_valid": f"select source_id, file_path, format from registry where {_VALID}",
     "format_policy": f"""select source_id, e as extension, case when f <> '' then f when e <> '' then e else 'unknown' end as format_normalized, {_PREP} as recommended_preprocessing,
  case {_PREP} when 'none' then 'pdf_print_pages_match_pymupdf_index_usually' when 'export_pdf_from_word_set_registry_to_pdf_for_page_critical_qa' then 'pymupdf_docx_page_index_may_differ_from_word_status_bar'
