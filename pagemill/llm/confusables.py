@@ -153,10 +153,6 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(forms, pa.string()), pa.array(words, pa.string())], names=["page_id", "form", "word"])
 
 
-def _is_latin(word: str) -> bool:
-    return word[0] < "\x80"
-
-
 def judge_groups(words: DataFrame, n_pages: int, bigrams: np.ndarray) -> DataFrame:
     """word, right: the originals that are written with another script's letters, with the right spelling.
 
