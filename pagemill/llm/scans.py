@@ -8,6 +8,8 @@
 4. Running lines are found per source by counting the pages on which a line, without case, numbers and reading
    errors, stands at the head or foot; page numbers by the page's own number. Both are removed, and the
    lines are reflowed into paragraphs.
+5. A word broken at the page end is made whole on the page where it begins: the next page of the source, by an
+   equi-join on source and page number, gives its first word away. Counts judge its hyphen as they do at a line end.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ _LETTERS = re.compile("[А-Яа-яЁёі]+")
 _PLAIN = re.compile("[а-яё]+(?:-[а-яё]+)*")
 _JOIN = re.compile(rf"(?<=[А-Яа-яЁёі{MARKS}0346])([{BREAKS}])[ \t]*\n[ \t]*(?=[а-яёі{MARKS}]|(?<=[А-ЯЁ][{BREAKS}]\n)[А-ЯЁ])")
 _END = re.compile(rf"([А-Яа-яЁёі0346{MARKS}]*[А-Яа-яЁёі])([{BREAKS}])[ \t]*$")
+_PART = rf"[А-Яа-яЁёі0346{MARKS}]+"
+_START = re.compile(rf"[ \t]*((?=[{MARKS}]?[а-яёі]|[А-ЯЁ]+(?![а-яё]))(?![а-яё]\)){_PART}(?:-{_PART})*(?:[{BREAKS}][ \t]*\n[ \t]*(?=[а-яёі]){_PART})*[^\s$|(\[]*)")
 _LATIN = re.compile("[A-Za-z][А-Яа-яЁё]|[А-Яа-яЁё][A-Za-z]")
 _BROKEN_NUMBER = re.compile("^[0-9ОоЗзбБ]+(?:[.,/–-][0-9ОоЗзбБ]+)*$")
 _POINT = re.compile("^[0-9]+[а-гб]$")
@@ -134,15 +138,19 @@ def _read(known):
     return run
 
 
-def link_words(counts: DataFrame, breaks: DataFrame) -> DataFrame:
-    """word, reading, n_reading: each word and the far more frequent words that a glyph edit makes of it."""
+def link_words(counts: DataFrame, breaks: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """word, reading, n_reading: each word (or each of the few of ``only``: word) and the far more frequent words that a glyph edit makes of it."""
     plain = counts.filter(~F.col("word").contains(_CUT))
-    cut = counts.select(F.col("word").alias("cut"), "n").join(breaks, "cut").select("word", "n")
-    every = plain.unionByName(cut).groupBy("word").agg(F.sum("n").alias("n")).filter((F.length("word") >= 4) | F.col("word").rlike("[0-9і]"))
+    if only is None:
+        cut = counts.select(F.col("word").alias("cut"), "n").join(breaks, "cut").select("word", "n")
+        every = plain.unionByName(cut).groupBy("word").agg(F.sum("n").alias("n"))
+    else:
+        every = only.distinct().join(plain, "word", "left").select("word", (F.coalesce("n", F.lit(0)) + 1).alias("n"))
+    every = every.filter((F.length("word") >= 4) | F.col("word").rlike("[0-9і]"))
     every = every.filter(~F.col("word").rlike("^[0-9]+[а-г]$"))
     target = plain.filter(F.col("n") >= RATIO).filter(F.col("word").rlike("^[а-яё-]+$")).select(F.col("word").alias("reading"), F.col("n").alias("n_reading"))
     known = None
-    if target.count() <= BROADCAST_WORDS:
+    if only is None and target.count() <= BROADCAST_WORDS:
         known = counts.sparkSession.sparkContext.broadcast(frozenset(r.reading for r in target.select("reading").toLocalIterator()))
     made = every.mapInArrow(_read(known), "word string, n bigint, reading string")
     return made.join(target, "reading").filter(F.col("n_reading") >= F.greatest(RATIO * F.col("n"), COMMON_RATIO * (F.col("n") - FEW))).select("word", "reading", "n_reading")
@@ -161,8 +169,11 @@ def glyph_token(token: str) -> bool:
     return bool(_BROKEN_NUMBER.match(token) and re.search(r"\d", token) and re.search("[ОоЗзбБ]", token) and not _POINT.match(token))
 
 
-def _occurrences(common):
-    """Per scanned page: forms seen at once, and occurrences that joins decide (word with its context, cut words, breaks at the page end)."""
+def _occurrences(common, starts: bool):
+    """Per scanned page: forms seen at once, and occurrences that joins decide (word with its context, cut words, breaks at the page end).
+
+    With ``starts`` also the words that may carry on a word of the page before; their context are the places, counted from the end, of the lines above.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         skip = common.value
@@ -180,7 +191,15 @@ def _occurrences(common):
                 for behind in range(min(1 + 2 * EDGE_LINES, len(lines))):
                     m = _END.search(lines[-1 - behind])
                     if m:
-                        out.append((page_id, "end", m[1].lower() + (_CUT if m[2] == "-" else ""), behind, None))
+                        out.append((page_id, "end", m[1] + (_CUT if m[2] == "-" else ""), behind, _TOKEN.findall(lines[-1 - behind][: m.start()].lower())[-3:] if starts else None))
+                raw = shaped.split("\n") if starts else []
+                places = [i for i, line in enumerate(raw) if line.strip()]
+                for above, i in enumerate(places[: 1 + 2 * EDGE_LINES]):
+                    m = _START.match("\n".join(raw[i : i + 3]))
+                    if m:
+                        out.append((page_id, "start", m[1], len(lines) - 1 - above, [str(len(lines) - 1 - k) for k in range(above)]))
+                    if EDGE_LINES <= above < len(lines) - EDGE_LINES:
+                        break  # no furniture here, so nothing below it is the first line
                 for token in filter(_SUSPECT.search, whole.replace(_CUT, "").split()):
                     if glyph_token(token.strip(".,;:!?()[]«»\"'")):
                         out.append((page_id, "glyph", None, None, None))
@@ -303,7 +322,22 @@ def furniture(pages: DataFrame, work: Scratch) -> DataFrame:
 # --- results -------------------------------------------------------------------------------------------------------
 
 
-def _analyse(pages: DataFrame) -> dict[str, DataFrame]:
+def _carry(pages: DataFrame, seen: DataFrame, ends: DataFrame, below: DataFrame) -> DataFrame:
+    """page_id, cut, context, next_id, lead: words broken at the end of a scanned page, and their rest at the head of each delivery of the scanned page behind it."""
+    ids = pages.filter(F.col("parser") == SCANNED).filter("page_id is not null and source_id is not null and page is not null")
+    ids = ids.select(F.col("page_id").cast("bigint").alias("page_id"), "source_id", F.col("page").cast("int").alias("page")).distinct()
+    ends = ends.filter("not array_contains(coalesce(gone, array()), behind)").dropDuplicates(["page_id"])
+    ends = ends.join(ids, "page_id").select("page_id", "source_id", (F.col("page") + 1).alias("page"), F.col("word").alias("head"), "context")
+    after = ids.join(ends.select("source_id", "page").distinct(), ["source_id", "page"], "left_semi")
+    starts = seen.filter("kind = 'start'").join(after, "page_id").join(below, "page_id", "left")
+    starts = starts.filter("not array_contains(coalesce(gone, array()), behind) and size(array_except(context, transform(coalesce(gone, array()), x -> cast(x as string)))) = 0")
+    starts = starts.select("source_id", "page", F.col("page_id").alias("next_id"), F.col("word").alias("lead"))
+    pairs = ends.join(starts, ["source_id", "page"]).filter(~F.col("lead").rlike("^[А-ЯЁ]") | F.col("head").rlike(f"[А-ЯЁ]{_CUT}?$"))
+    rest = F.regexp_extract(F.regexp_replace("lead", rf"[{BREAKS}][ \t]*\n[ \t]*", ""), f"^{_PART}", 0)
+    return pairs.select("page_id", F.lower(F.concat("head", rest)).alias("cut"), "context", "next_id", "lead")
+
+
+def _analyse(pages: DataFrame, carry: bool = False) -> dict[str, DataFrame]:
     work = Scratch(pages.sparkSession, "scans")
     spark = pages.sparkSession
     scanned = pages.filter(F.col("parser") == SCANNED).filter("page_id is not null")
@@ -312,7 +346,7 @@ def _analyse(pages: DataFrame) -> dict[str, DataFrame]:
     links = work.cut(link_words(counts, breaks), "links")
     common = counts.filter(F.col("n") >= MIN_COUNT).filter(~F.col("word").contains(_CUT)).join(links, "word", "left_anti").orderBy(F.desc("n"), "word").limit(SKIP_WORDS)
     common = spark.sparkContext.broadcast(frozenset(r.word for r in common.select("word").collect()))
-    seen = scanned.select(F.col("page_id").cast("bigint").alias("page_id"), "text").mapInArrow(_occurrences(common), "page_id bigint, kind string, word string, behind int, context array<string>")
+    seen = scanned.select(F.col("page_id").cast("bigint").alias("page_id"), "text").mapInArrow(_occurrences(common, carry), "page_id bigint, kind string, word string, behind int, context array<string>")
     seen = work.cut(seen, "seen")
     vectors = spark.sparkContext.broadcast(skip_gram(pages, counts))
     words = seen.filter("kind = 'word'").select("page_id", F.col("word").alias("cut"), "context")
@@ -325,10 +359,19 @@ def _analyse(pages: DataFrame) -> dict[str, DataFrame]:
     ends = seen.filter("kind = 'end'").join(below, "page_id", "left")
     clear = (F.col("behind") == 0) | F.expr("size(array_except(sequence(0, greatest(behind - 1, 0)), coalesce(gone, array()))) = 0")
     heads = counts.filter(F.col("word").rlike("^[а-яё]+-")).groupBy(F.concat(F.substring_index("word", "-", 1), F.lit(_CUT)).alias("word")).agg(F.sum("n").alias("n_head"))
-    ends = ends.filter(clear).join(heads, "word", "left").filter("coalesce(n_head, 0) < 5").select("page_id")
+    parts = {}
+    if carry:
+        pairs = work.cut(_carry(pages, seen, ends.filter(clear), below), "pairs")
+        judged = judge_breaks(counts.filter(~F.col("word").contains(_CUT)).unionByName(pairs.select(F.col("cut").alias("word"), F.lit(1).cast("bigint").alias("n")).distinct()))
+        over = work.cut(pairs.select("page_id", "cut", "context").distinct().join(judged, "cut", "left").withColumn("word", F.coalesce("word", "cut")), "over")
+        linked = link_words(counts, breaks, over.select("word")).groupBy("word").agg(F.collect_list(F.struct("reading", "n_reading")).alias("options"))
+        mended = over.join(linked, "word").select("page_id", "word", "context", "options").mapInArrow(_fits(vectors), "page_id bigint, word string, reading string")
+        fixes, words = fixes.unionByName(mended), words.unionByName(over.select(*words.columns))
+        parts = {"tails": pairs.groupBy("page_id").agg(F.mode("lead", True).alias("tail")), "leads": pairs.groupBy(F.col("next_id").alias("page_id")).agg(F.min("lead").alias("lead"))}
+    ends = ends.filter(clear).withColumn("word", F.lower("word")).join(heads, "word", "left").filter("coalesce(n_head, 0) < 5").select("page_id")
     broken = words.filter("is_break").select("page_id").unionByName(seen.filter("kind = 'hyphen'").select("page_id")).unionByName(ends)
     glyph = seen.filter("kind = 'glyph'").select("page_id").unionByName(fixes.select("page_id"))
-    return {"hyphen": broken, "glyph": glyph, "lines": lines, "fixes": fixes, "words": words}
+    return {"hyphen": broken, "glyph": glyph, "lines": lines, "fixes": fixes, "words": words, **parts}
 
 
 def found_noise(pages: DataFrame) -> DataFrame:
@@ -345,10 +388,17 @@ def found_noise(pages: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def _mend(text: str, gone: set[int], fixes: dict[str, str], compounds: set[str]) -> str:
-    """The page without its furniture, words whole and corrected, each paragraph on one line."""
+def _mend(text: str, gone: set[int], fixes: dict[str, str], compounds: set[str], lead: str | None = None, tail: str | None = None) -> str:
+    """The page without its furniture, words whole and corrected, each paragraph on one line.
+
+    ``lead``: its first word, which belongs to the page before; ``tail``: the rest of its last word, from the page behind.
+    """
     lines = [line for i, line in enumerate(_shape(text).split("\n")) if i + 1 not in gone]
     text = "\n".join(lines)
+    if lead is not None:
+        text = text.lstrip().removeprefix(lead).lstrip(" \t").removeprefix("\n")
+    if tail is not None:
+        text = f"{text.rstrip()}\n{tail}"
 
     def join(m: re.Match) -> str:
         if m[1] != "-":
@@ -385,19 +435,25 @@ def _mend(text: str, gone: set[int], fixes: dict[str, str], compounds: set[str])
 
 
 def repaired(pages: DataFrame) -> DataFrame:
-    """page_id, text: every scanned page as continuous paragraphs; other pages, null and empty texts as they are."""
-    parts = _analyse(pages)
+    """page_id, text: every scanned page as continuous paragraphs; other pages, null and empty texts as they are.
+
+    A word broken at the page end stands whole on the page where it begins, with the punctuation behind it. Its rest is the first word
+    of the page with the next number, if that is a scanned page of the same source; otherwise the break stays. Where deliveries of that page
+    differ, the rest that most of them have counts, and each gives its own away. Paragraphs that run over the page end
+    stay on their two pages.
+    """
+    parts = _analyse(pages, carry=True)
     gone = parts["lines"].groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))
     fixes = parts["fixes"].groupBy("page_id", "word").agg(F.min("reading").alias("reading"))
     fixes = fixes.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "reading"))).alias("fixes"))
     own = parts["words"].filter("not is_break").groupBy("page_id").agg(F.collect_set("word").alias("own"))
-    rows = pages.select("page_id", "text", "parser").join(gone, "page_id", "left").join(fixes, "page_id", "left").join(own, "page_id", "left")
+    rows = pages.select("page_id", "text", "parser").join(gone, "page_id", "left").join(fixes, "page_id", "left").join(own, "page_id", "left").join(parts["leads"], "page_id", "left").join(parts["tails"], "page_id", "left")
 
     def run(batches):
         for batch in batches:
             texts = [
-                _mend(text, set(g or ()), dict(f or ()), set(o or ())) if text and parser == SCANNED else text
-                for _, text, parser, g, f, o in zip(*(c.to_pylist() for c in batch.columns))
+                _mend(text, set(g or ()), dict(f or ()), set(o or ()), lead, tail) if text and parser == SCANNED else text
+                for _, text, parser, g, f, o, lead, tail in zip(*(c.to_pylist() for c in batch.columns))
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["page_id", "text"])
 

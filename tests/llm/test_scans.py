@@ -57,5 +57,28 @@ def test_repaired(spark):
     assert out[30].startswith("Испытательная лаборатория опубликовала удельные показатели образования золы") and out[39] is None and out[0] == rows[0][2]
 
 
+def test_words_broken_at_the_page_end(spark):
+    rows = [("c", p, page(), "light") for p in range(30)]
+    first, last = "Начало текста", "Конец текста."
+    over = [
+        ("d", 1, f"{first}\nопублико-", S.SCANNED), ("d", 2, f"  вала, здесь\n{last}", S.SCANNED),  # joined, its punctuation with it
+        ("d", 3, f"{first} Санитарно-\n\n", S.SCANNED), ("d", 4, f"защитная\n{last}", S.SCANNED), ("d", 4, f"защитная\n{last}", S.SCANNED),  # own hyphen, two deliveries
+        ("e", 1, f"{first} обес-", S.SCANNED), ("e", 2, f"нече¬\nния тут\n\n{last}", S.SCANNED),  # misread and broken again
+        ("e", 3, f"{first} опублико-", S.SCANNED), ("e", 4, f"Вала\n{last}", S.SCANNED),  # nothing carries it on
+        ("e", 6, f"{first} опублико-", S.SCANNED), ("e", 8, f"вала\n{last}", S.SCANNED), ("f", 7, f"вала\n{last}", S.SCANNED),  # page 7 of the source is missing
+        ("g", 1, f"{first} опублико-", S.SCANNED), ("g", 2, f"вала\n{last}", "light"), (None, 1, f"{first} опублико-", S.SCANNED), (None, 2, f"вала\n{last}", S.SCANNED),
+        ("h", 1, f"{first} ОПУБЛИ-", S.SCANNED), ("h", 2, f"КОВАЛА\n{last}", S.SCANNED),
+    ]
+    run = [("r", p, f"Отчёт по объекту «Лесной»\nс. {p} из 9\nвала данные\nи показатели\n{BODY[p % 5]} опублико–", S.SCANNED) for p in range(1, 9)]
+    out = {r.page_id: r.text for r in S.repaired(frame(spark, rows + over + run)).collect()}
+    assert [out[30 + i] for i in range(len(over))] == [
+        f"{first} опубликовала,", f"здесь {last}", f"{first} Санитарно-защитная", last, last, f"{first} обеспечения", f"тут\n\n{last}", f"{first} опублико-", f"Вала {last}",
+        f"{first} опублико-", f"вала {last}", f"вала {last}", f"{first} опублико-", f"вала\n{last}", f"{first} опублико-", f"вала {last}", f"{first} ОПУБЛИКОВАЛА", last,
+    ]
+    at = 30 + len(over)
+    assert out[at].startswith("вала данные ") and out[at].endswith(" опубликовала")
+    assert all(out[at + i].startswith("данные ") and out[at + i].endswith(" опубликовала" if i < 7 else " опублико–") for i in range(1, 8))
+
+
 def test_empty(spark):
     assert S.found_noise(frame(spark, [])).count() == 0 and S.repaired(frame(spark, [])).count() == 0
