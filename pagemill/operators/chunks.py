@@ -146,11 +146,11 @@ def structural_chunks(pages: DataFrame, most: int = MAX_CHARS, overlap: int = OV
     """Pages (source_id, page, text) to chunks: chunk_id, doc_id, page, page_end, section_title, text, entities, source_ref, block_type,
     block_level, parent_header_id, structure_confidence, is_continuation, is_truncated, needs_review.
 
-    Defined cases: rows without source or page are left out; of several rows of one page the one with the smallest text counts
-    (repeated deliveries are equal); null and blank texts have no chunks; extra columns are not read.
+    Defined cases: rows without source or page are left out; of several rows of one page the one with the smallest text that is
+    not blank counts (repeated deliveries are equal); null and blank texts have no chunks; extra columns are not read.
     """
     one = pages.select(F.col("source_id").alias("doc_id"), F.col("page").cast("int").alias("page"), "text").filter("doc_id is not null and page is not null")
-    one = one.groupBy("doc_id", "page").agg(F.min("text").alias("text"))
+    one = one.groupBy("doc_id", "page").agg(F.coalesce(F.min(F.when(F.col("text").rlike(r"[^\s\p{Z}]"), F.col("text"))), F.min("text")).alias("text"))
     rows = one.mapInArrow(_cut_pages(most, overlap), "doc_id string, page int, idx int, text string, head boolean")
     rows = carry_last(rows, F.when(F.col("head"), F.struct("page", "idx")), "run", inclusive=True)
 

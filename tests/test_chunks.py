@@ -88,6 +88,11 @@ def test_enrichment(spark):
     assert got["e:p1:b0"].text == "1) а\n2) б" and got["d:p2:b0"].formula_vars is None
 
 
+def test_blank_delivery_does_not_win(spark):
+    got = built(spark, ("d", 1, ""), ("d", 1, "Это текст."), ("d", 1, " \n\xa0"), ("d", 1, None), ("d", 2, ""), ("d", 2, None))
+    assert {k: r.text for k, r in got.items()} == {"d:p1:b0": "Это текст."}
+
+
 def test_empty(spark):
     empty = pages(spark).filter(F.lit(False))
     assert C.structural_chunks(empty).count() == 0 and C.enrich(C.structural_chunks(empty)).count() == 0
