@@ -59,8 +59,9 @@ _PART = rf"[А-Яа-яЁёі0346{MARKS}]+"
 _START = re.compile(rf"[ \t]*((?=[{MARKS}]?[а-яёі]|[А-ЯЁ]+(?![а-яё]))(?![а-яё]\)){_PART}(?:-{_PART})*(?:[{BREAKS}][ \t]*\n[ \t]*(?=[а-яёі]){_PART})*[^\s$|(\[]*)")
 _LATIN = re.compile("[A-Za-z][А-Яа-яЁё]|[А-Яа-яЁё][A-Za-z]")
 _BROKEN_NUMBER = re.compile("^[0-9ОоЗзбБ]+(?:[.,/–-][0-9ОоЗзбБ]+)*$")
-_POINT = re.compile("^[0-9]+[а-гб]$")
-_SUSPECT = re.compile(r"[~�□і]|[А-Яа-яЁё]\|[А-Яа-яЁё]|[0-9][А-Яа-яЁё]|[А-Яа-яЁё][0-9]")
+_POINT = re.compile("^[0-9]+[/–-]?[а-гб]$")
+#: Passes every token that glyph_token accepts.
+_SUSPECT = re.compile(r"[~�□іІ]|[А-Яа-яЁё]\|[А-Яа-яЁё]|\d[А-Яа-яЁё]|[А-Яа-яЁё]\d|[ОоЗзбБ][.,/–-]\d|\d[.,/–-][ОоЗзбБ]")
 
 
 def _joined(text: str) -> str:
@@ -160,9 +161,9 @@ def glyph_token(token: str) -> bool:
     """Whether a token in its original case shows by its signs that a glyph was misread: a mark or a digit in a word, і for a part of ы or ю, a letter or mark in a number."""
     letters = sum(c.isalpha() for c in token)
     if letters >= 2 and not _LATIN.search(token):
-        if any(c in "~�□" for c in token) or re.search(r"[А-Яа-яЁё]\|[А-Яа-яЁё]", token) or "ьі" in token or "іо" in token.lower() or "ьі" in token.lower():
+        if any(c in "~�□" for c in token) or re.search(r"[А-Яа-яЁё]\|[А-Яа-яЁё]", token) or "іо" in token.lower() or "ьі" in token.lower():
             return True
-        if letters >= 3 and re.search("[0346]", token) and re.fullmatch(r"[А-Яа-яЁё0346-]+", token) and not re.search(r"\d-|^\d+[а-яё]$", token):
+        if letters >= 3 and re.search("[0346][А-Яа-яЁё]|[А-Яа-яЁё][0346]", token) and re.fullmatch(r"[А-Яа-яЁё0346-]+", token) and not re.search(r"\d-|^\d+[а-яё]$", token):
             return True
     if re.search(r"\d[~�□]\d|\d[~�□]$|^[~�□]\d{2,}", token) and letters == 0:
         return True

@@ -1,3 +1,5 @@
+from itertools import product
+
 import pytest
 
 from pagemill.llm import scans as S
@@ -22,6 +24,18 @@ def test_tokens_by_their_signs(token, bad):
     assert S.glyph_token(token) == bool(bad)
 
 
+def test_no_token_is_lost_before_its_signs_are_looked_at():
+    made = ["".join(x) for k in range(1, 6) for x in product("оЗб5,-іІь|~", repeat=k)] + ["О,5", "5,О", "З/12", "7–З", "ЬІ", "ІО", "СНИЖЕНІО"]
+    lost = [t for t in made if S.glyph_token(t) and not S._SUSPECT.search(t)]
+    assert not lost and all(map(S.glyph_token, made[-7:]))
+    assert not any(map(S.glyph_token, ["ТЭЦ-3", "Луч-40", "5-б", "5/б"]))
+
+
+def test_broken_numbers_of_pages(spark):
+    rows = [("d", i, f"Содержание {t} единиц", S.SCANNED) for i, t in enumerate(["О,5", "5,О", "З/12", "7–З", "0,5"])]
+    assert sorted(r.page_id for r in S.found_noise(frame(spark, rows)).collect() if r.noise == "glyph") == [0, 1, 2, 3]
+
+
 @pytest.mark.parametrize("line,page,own", [("— 8 —", 8, 1), ("- 8 -", 8, 1), ("[24]", 24, 1), ("с. 1 из 28", 1, 1), ("Стр. 5", 5, 1), ("8 / 28", 8, 1), ("    7", 7, 1), ("с. 1О из 28", 10, 1), ("[24]", 8, 0), ("№ 13.", 13, 0), ("13.", 13, 0), ("1. Глава", 1, 0), ("8", None, 0), ("", 1, 0)])
 def test_own_numbers(line, page, own):
     assert S.is_own_number(line, page) == bool(own)
