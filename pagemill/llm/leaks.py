@@ -74,10 +74,11 @@ class Items:
         self.owner = np.array(owner or [0], np.int64)
         ends = np.flatnonzero(self.tokens < 0)
         self.left = ends[np.searchsorted(ends, np.arange(len(self.tokens)))] - np.arange(len(self.tokens))  # words to the item's end
+        self.first = np.concatenate(([0], ends[:-1] + 1))
         self.longest = int(self.left.max(initial=0))
 
-    def search(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item number, place in ``tokens`` and length of each match of at least MIN_RUN words."""
+    def search(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Item number, place in ``tokens``, length and place in the item of each match of at least MIN_RUN words."""
         sa = suffix_array(tokens, starts, self.longest)
         q = np.flatnonzero(self.left >= MIN_RUN)
         lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(sa), np.int64)
@@ -96,11 +97,11 @@ class Items:
             same = (self.tokens[a] >= 0) & (self.tokens[a] == tokens[np.minimum(b, len(tokens) - 1)])
             going = going[same]
             length[going] += 1
-        return self.owner[query], place, length
+        return self.owner[query], place, length, query - self.first[self.owner[query]]
 
 
-def _shards(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Words, suffix starts and owners of runs that can match, for about SHARD_WORDS words at a time."""
+def _shards(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Words, suffix starts, owners and places in the document (from 0) of runs that can match, for about SHARD_WORDS words at a time."""
     get = number.get
     parts: list[np.ndarray] = []
     docs: list[tuple[int, int]] = []
@@ -108,7 +109,9 @@ def _shards(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterat
 
     def close():
         tokens = np.concatenate(parts)
-        owner = np.repeat(np.array([d for d, _ in docs], np.int64), [n for _, n in docs])
+        sizes = np.array([n for _, n in docs], np.int64)
+        owner = np.repeat(np.array([d for d, _ in docs], np.int64), sizes)
+        within = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         edge = np.flatnonzero(np.diff(np.concatenate(([False], tokens >= 0, [False])).astype(np.int8)))
         begin, end = edge[::2], edge[1::2]
         long_ = end - begin >= MIN_RUN
@@ -119,8 +122,8 @@ def _shards(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterat
         np.add.at(keep, begin, 1)
         np.add.at(keep, np.minimum(end + 1, len(tokens)), -1)  # the -1 behind a run stays as its end
         mask = np.cumsum(keep[:-1]) > 0
-        tokens, owner = np.append(tokens[mask], -1), np.append(owner[mask], -1)
-        return tokens, np.flatnonzero(tokens >= 0), owner
+        tokens, owner, within = np.append(tokens[mask], -1), np.append(owner[mask], -1), np.append(within[mask], -1)
+        return tokens, np.flatnonzero(tokens >= 0), owner, within
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -143,20 +146,26 @@ def _shards(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterat
 def _search(items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Items = items.value
-        for tokens, starts, owner in _shards(batches, table.number):
-            item, place, length = table.search(tokens, starts)
-            order = np.lexsort((place, -length, item, owner[place]))
-            item, place, length = item[order], place[order], length[order]
+        for tokens, starts, owner, within in _shards(batches, table.number):
+            item, place, length, spot = table.search(tokens, starts)
+            order = np.lexsort((spot, within[place], -length, item, owner[place]))
+            item, place, length, spot = item[order], place[order], length[order], spot[order]
             doc = owner[place]
             first = np.ones(len(doc), bool)
             first[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(table.ids[item[first]]), pa.array(length[first])], names=["doc_id", "item_id", "n_words"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(table.ids[item[first]]), pa.array(length[first]), pa.array(within[place[first]]), pa.array(spot[first])], names=["doc_id", "item_id", "n_words", "doc_word", "item_word"])
 
     return run
 
 
 def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_words: each document that holds at least MIN_RUN consecutive words of a test item, with the longest match.
+    """doc_id, item_id, n_words: each document that holds at least MIN_RUN consecutive words of a test item, with the longest match (see longest_matches)."""
+    return longest_matches(docs, items).select("doc_id", "item_id", "n_words")
+
+
+def longest_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_words, doc_word, item_word: the longest match of each document with a test item of which it holds at least MIN_RUN
+    consecutive words, and the number (from 0) of its first word in either; of several as long, the first in the document, then in the item.
 
     Null and empty texts on either side, items with fewer words and rows without an id match nothing; an item or document row
     that is repeated counts once; every item is searched in every document. The items are broadcast in blocks
@@ -169,7 +178,7 @@ def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     block: list[tuple[int, str]] = []
 
     def search(block):
-        part = rows.mapInArrow(_search(spark.sparkContext.broadcast(Items(block))), "doc_id bigint, item_id bigint, n_words bigint")
+        part = rows.mapInArrow(_search(spark.sparkContext.broadcast(Items(block))), "doc_id bigint, item_id bigint, n_words bigint, doc_word bigint, item_word bigint")
         return part if found is None else found.unionByName(part)
 
     size = 0
@@ -179,7 +188,8 @@ def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
         block.append((row.item_id, row.text))
         size += len(row.text)
     found = search(block)
-    return found.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
+    best = F.min(F.struct((-F.col("n_words")).alias("less"), "doc_word", "item_word")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.less")).alias("n_words"), "best.doc_word", "best.item_word")
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -63,8 +63,8 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The longest verbatim match of each leaked pair: doc_id, item_id, n_words."""
-    return leaks.leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
+    """The longest verbatim match of each leaked pair and its places: doc_id, item_id, n_words, doc_word, item_word."""
+    return leaks.longest_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
 
 
 def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,13 @@ def test_longest_match(spark):
     assert [tuple(r) for r in rows] == [(1, 7, 17)]
 
 
+def test_places_of_the_longest_match(spark):
+    w = [f"w{i}" for i in range(30)]
+    docs = [(1, " ".join(["x"] * 3 + w[:12] + ["y"] * 2 + w[3:20] + ["y"] + w[3:20])), (2, " ".join(w[5:18]))]
+    rows = run(spark, docs, [(6, " ".join(["z"] * 13)), (7, " ".join(w))], L.longest_matches).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 7, 17, 17, 3), (2, 7, 13, 0, 5)]
+
+
 def test_letters(spark):
     assert L.words_of("Ёлка, ПДК-1 м³ a_b") == ["елка", "пдк", "1", "м³", "a", "b"]
 
