@@ -71,13 +71,43 @@ def test_repaired(spark):
     assert out[30].startswith("Испытательная лаборатория опубликовала удельные показатели образования золы") and out[39] is None and out[0] == rows[0][2]
 
 
+def glyphs(spark, rows):
+    return {r.page_id for r in S.found_noise(frame(spark, rows)).collect() if r.noise == "glyph"}
+
+
+def test_vectors_decide_what_is_a_misreading(spark, monkeypatch):
+    """Of two rare words that one glyph edit turns into a frequent one, only the one in its surroundings is a misreading."""
+    rows = [("c", p, f"Объект № {p}: {BODY[0]}\nутром выдан полный ведомственный отчёт начальнику цеха\nвечером пойман крупный речной налим рыбаками артели", S.SCANNED) for p in range(60)]
+    rows += [("d", 1, "утром выдан полный ведомственный огчёт начальнику цеха", S.SCANNED), ("d", 2, "вечером пойман крупный речной огчёт рыбаками артели", S.SCANNED)]
+    rows += [("d", 3, "Объект № 4О: Испытательная лаборатория", S.SCANNED), ("d", 4, "утром вы~ан полный ведомственный", S.SCANNED)]
+    rows = [(f"{s}{i % 20}", p, t, q) for i, (s, p, t, q) in enumerate(rows)]
+    assert glyphs(spark, rows[:61] + rows[62:]) == {60, 61, 62}  # the misread word, number and mark
+    assert glyphs(spark, rows[:60] + rows[61:62]) == set()
+
+    class Empty(S.SkipGram):
+        def __init__(self, matrix):
+            super().__init__(matrix)
+            self.axes, self.classes = self.axes * 0, self.classes * 0
+
+    monkeypatch.setattr(S, "SkipGram", Empty)
+    assert glyphs(spark, rows) == set()  # without vectors nothing is one
+
+
+def test_links_are_those_of_glyph_edits(spark):
+    words = [("превысило", 900), ("превысипо", 1), ("прсвысило", 1), ("нрснысило", 1), ("нрснысипо", 1), ("превьісил0", 2), ("прев~сило", 1), ("прев~си~о", 1), ("п~ев~си~о", 1), ("сом", 400), ("сон", 1), ("кит", 40), ("киг", 1), ("завол", 300), ("завод", 300)]
+    counts = spark.createDataFrame([*words, ("пре\x01высило", 1)], "word string, n long")
+    links = {(r.word, r.reading) for r in S.link_words(counts, S.judge_breaks(counts)).collect()}
+    assert links == {(w, "превысило") for w in ("прсвысило", "превьісил0", "прев~сило", "прев~си~о")}
+    assert S.plausible("нрснысило", "превысило") is False and S.plausible("нрсвысило", "превысило") and not S.plausible("киг", "кот")
+
+
 def test_words_broken_at_the_page_end(spark):
     rows = [("c", p, page(), "light") for p in range(30)]
     first, last = "Начало текста", "Конец текста."
     over = [
         ("d", 1, f"{first}\nопублико-", S.SCANNED), ("d", 2, f"  вала, здесь\n{last}", S.SCANNED),  # joined, its punctuation with it
         ("d", 3, f"{first} Санитарно-\n\n", S.SCANNED), ("d", 4, f"защитная\n{last}", S.SCANNED), ("d", 4, f"защитная\n{last}", S.SCANNED),  # own hyphen, two deliveries
-        ("e", 1, f"{first} обес-", S.SCANNED), ("e", 2, f"нече¬\nния тут\n\n{last}", S.SCANNED),  # misread and broken again
+        ("e", 1, f"{first} зона и обес-", S.SCANNED), ("e", 2, f"нече¬\nния тут\n\n{last}", S.SCANNED),  # misread and broken again
         ("e", 3, f"{first} опублико-", S.SCANNED), ("e", 4, f"Вала\n{last}", S.SCANNED),  # nothing carries it on
         ("e", 6, f"{first} опублико-", S.SCANNED), ("e", 8, f"вала\n{last}", S.SCANNED), ("f", 7, f"вала\n{last}", S.SCANNED),  # page 7 of the source is missing
         ("g", 1, f"{first} опублико-", S.SCANNED), ("g", 2, f"вала\n{last}", "light"), (None, 1, f"{first} опублико-", S.SCANNED), (None, 2, f"вала\n{last}", S.SCANNED),
@@ -86,7 +116,7 @@ def test_words_broken_at_the_page_end(spark):
     run = [("r", p, f"Отчёт по объекту «Лесной»\nс. {p} из 9\nвала данные\nи показатели\n{BODY[p % 5]} опублико–", S.SCANNED) for p in range(1, 9)]
     out = {r.page_id: r.text for r in S.repaired(frame(spark, rows + over + run)).collect()}
     assert [out[30 + i] for i in range(len(over))] == [
-        f"{first} опубликовала,", f"здесь {last}", f"{first} Санитарно-защитная", last, last, f"{first} обеспечения", f"тут\n\n{last}", f"{first} опублико-", f"Вала {last}",
+        f"{first} опубликовала,", f"здесь {last}", f"{first} Санитарно-защитная", last, last, f"{first} зона и обеспечения", f"тут\n\n{last}", f"{first} опублико-", f"Вала {last}",
         f"{first} опублико-", f"вала {last}", f"вала {last}", f"{first} опублико-", f"вала\n{last}", f"{first} опублико-", f"вала {last}", f"{first} ОПУБЛИКОВАЛА", last,
     ]
     at = 30 + len(over)
