@@ -1,4 +1,4 @@
-"""Word counts over a whole corpus, and the letter-bigram model of its Cyrillic words."""
+"""Word and sign counts over a whole corpus, and the model of its Cyrillic words by letter bigrams."""
 
 from __future__ import annotations
 
@@ -16,6 +16,10 @@ LETTERS = "абвгдежзийклмнопрстуфхцчшщъыьэюяё"
 NUMBER = {c: i + 1 for i, c in enumerate(LETTERS)}
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Characters beyond ASCII and Cyrillic: signs, and letters that are strange in Cyrillic text.
+_SIGN = re.compile(r"[^\x00-\x7fА-яЁё]")
+#: The rows of the word counts that the models use.
+IN_MODEL = "word rlike '^[А-Яа-яЁё]+$' or length(word) = 1"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -24,11 +28,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0).to_pylist():
             if text:
                 counts.update(_WORD.findall(text))
+                if not text.isascii():
+                    counts.update(_SIGN.findall(text))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
-    """word, n: runs of letters of all texts, counted per batch before the shuffle."""
+    """word, n: runs of letters, and single characters beyond ASCII and Cyrillic, of all texts, counted per batch before the shuffle."""
     return texts.select(text).mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -46,6 +52,18 @@ def letter_bigrams(words: DataFrame) -> np.ndarray:
     return np.log(joint / joint.sum())
 
 
+def sign_shares(words: DataFrame) -> dict[str, float]:
+    """Log-probability of each character beyond ASCII and Cyrillic among all characters of words and signs; of one not seen under "".
+
+    The result of the aggregate has at most as many rows as there are characters.
+    """
+    alone = F.col("word").rlike("^[^\\x00-\\x7fА-яЁё]$")
+    rows = words.groupBy(F.when(alone, F.col("word")).otherwise("").alias("sign")).agg(F.sum(F.col("n") * F.length("word")).alias("n")).collect()
+    total = max(1.0, float(sum(r.n for r in rows)))
+    out = {r.sign: float(np.log(r.n / total)) for r in rows if r.sign}
+    return {**out, "": float(np.log(0.5 / total))}
+
+
 def conditional(joint: np.ndarray) -> list[list[float]]:
     """Log-probability of the second letter given the first."""
     p = np.exp(joint)

@@ -1,11 +1,13 @@
 """Garbled text from wrong character encoding.
 
-A wrong decoding is a substitution cipher: each byte (or, for UTF-8, each byte sequence) stands for one letter. Garbled
-tokens are cut out of the pages, brought into one symbol per cipher letter, and counted as symbol bigrams per source
-and cipher. Expectation-maximization then learns, for each of these, which letter a symbol stands for, so that
-the bigrams fit those of the corpus' clean words; it starts from the swap of public code pages that reads best on the
-page, or from letter frequencies where none reads at all. translate() applies the learned mapping. A page is
-affected if it has a token that is garbled by its signs, or one that reads as language only after translation.
+A wrong decoding is a substitution cipher: each byte (or, for UTF-8, each byte sequence) stands for one letter. Tokens that
+may be garbled are cut out of the pages, brought into one symbol per cipher letter, and counted as symbol bigrams per source
+and cipher; tokens of a page that read best under the same swap of public code pages, or under none, make up a cipher.
+Expectation-maximization then learns, for each source and cipher, which letter a symbol stands for, so that the bigrams fit those of
+the corpus' words. It has several starts: the public swap, and the source's own counts without any code page; the
+solution with the highest likelihood holds, where one that no code page explains must pay for the choice of its mapping. translate()
+applies it. A token counts as garbled if the learned mapping makes it likelier, as letters and signs of the corpus go, than it
+was; what its signs look like only adds to the evidence.
 """
 
 from __future__ import annotations
@@ -82,6 +84,8 @@ _CAPITALS = re.compile("[А-ЯЁ]{3}")
 _CAPITALIZED = re.compile("[а-яё]?[А-ЯЁ]+")
 #: Mean log-probability below which a word does not read as language, from which on it does, and the least gain.
 UNREADABLE, READABLE, GAIN = -4.2, -3.9, 1.0
+#: Words of swapped code pages that a scanned page must have; a single one may be misread.
+SCANNED_WORDS = 3
 
 
 @lru_cache(maxsize=None)
@@ -178,6 +182,20 @@ def _reads(text: str, cond: list[list[float]]) -> tuple[float, int]:
     return total - 12.0 * odd, count + odd
 
 
+#: What a token's looks add to the evidence, and what a token must gain by the mapping; both as log-likelihood.
+SURE_WORTH, NEED = 4.0, 6.0
+
+
+def likelihood(text: str, cond: list[list[float]], signs: dict[str, float]) -> float:
+    """Log-probability of a token's Cyrillic words by letter bigrams and of its other characters beyond ASCII by their share of the corpus; ``signs[""]``: of one not seen."""
+    total = 0.0
+    for word in _CYRILLIC_RUN.findall(text):
+        low = word.lower()
+        total += charmodel.mean_score(low, cond) * (len(low) + 1) - (2.0 * sum(c.isupper() for c in word[1:]) if not word.isupper() else 0)
+    none = signs[""]
+    return total + sum(signs.get(c, none) for c in text if ord(c) > 0x7F and c not in _LETTER)
+
+
 #: Ciphers tried first for a group of tokens by its shape; where none of them reads, all are tried.
 _LIKELY = {
     "utf": ["utf8:cp1252", "utf8:double"],
@@ -188,24 +206,46 @@ _LIKELY = {
 }
 
 
-def best_cipher(tokens: list[str], shape: str, cond: list[list[float]]) -> str:
-    """The swap of public code pages under which a page's garbled tokens read best; ``unknown`` where none reads."""
-    text = " ".join(sorted(tokens, key=len, reverse=True)[:40])  # evidence for the start of the EM only
+def best_cipher(tokens: list[str], shape: str, cond: list[list[float]], signs: dict[str, float]) -> str:
+    """The swap of public code pages under which tokens read best together, or whose letters and signs are the likeliest; ``unknown`` where none gains."""
+    text = " ".join(sorted(tokens))
+    least = likelihood(text, cond, signs) + NEED - SURE_WORTH
     for choice in (_LIKELY[shape], _CIPHERS):
-        best, label = -6.0, "unknown"
+        best, label = least, "unknown"
         for cipher in choice:
             read = _read(text, cipher)
-            total, count = _reads(read, cond)
-            if count and total / count > best:
-                total -= 6.0 * sum(1 for t in read.split(" ") if is_garbled(t))
-                if total / count > best:
-                    best, label = total / count, cipher
+            worth = likelihood(read, cond, signs)
+            if worth > best:
+                total, count = _reads(read, cond)
+                worth -= 6.0 * sum(1 for t in read.split(" ") if is_garbled(t))
+                if worth > best and (not count or total / count > -6.0):
+                    best, label = worth, cipher
         if label != "unknown":
             return label
     return "unknown"
 
 
-def _scan(cond: list[list[float]]):
+def ciphers_of(tokens: list[str], shape: str, cond: list[list[float]], signs: dict[str, float]) -> dict[str, str]:
+    """Cipher of each token: that of all together, and for those that do not read under it, in turn, their own."""
+    out: dict[str, str] = {}
+    left = sorted(tokens)
+    while left:
+        cipher = best_cipher(left, shape, cond, signs)
+        out.update(dict.fromkeys(left, cipher))
+        if cipher == "unknown":
+            break
+        odd = []
+        for t in left:
+            total, count = _reads(_read(t, cipher), cond)
+            if count > 4 and total / count < -6.0:
+                odd.append(t)
+        if len(odd) == len(left):
+            break
+        left = odd
+    return out
+
+
+def _scan(cond: list[list[float]], signs: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = lru_cache(maxsize=500_000)(lambda w: charmodel.mean_score(w, cond))
         for batch in batches:
@@ -218,16 +258,19 @@ def _scan(cond: list[list[float]]):
                 for token in garbled_tokens(text, scanned):
                     shape = "utf" if not _LATIN1.search(_UTF8_PAIR.sub("", token)) else "upper" if sum(map(str.isupper, token)) * 2 > sum(map(str.isalpha, token)) else "lower"
                     groups.setdefault(shape if _LATIN1.search(token) else "other", {})[token] = bool(_SURE.search(token) or "�" in token)
-                if not scanned and _CAPITALS.search(text):
-                    for word in set(_SWAPPED.findall(text)):
-                        if len(word) >= 4 and score(word.lower()) < UNREADABLE:
-                            groups.setdefault("swapped", {}).setdefault(word, False)
+                if _CAPITALS.search(text):
+                    odd = [w for w in set(_SWAPPED.findall(text)) if len(w) >= 4 and score(w.lower()) < UNREADABLE]
+                    if len(odd) >= (SCANNED_WORDS if scanned else 1):
+                        groups.setdefault("swapped", {}).update(dict.fromkeys(odd, False))
                 strong = set(groups.get("swapped", ()))
                 if strong:  # the page's other words of that shape are translated with these, though they are no evidence
                     groups["swapped"].update((w, False) for w in set(_CYRILLIC_RUN.findall(text)) - strong if _CAPITALIZED.fullmatch(w))
                 for shape, tokens in groups.items():
-                    cipher = best_cipher(list(strong) if shape == "swapped" else list(tokens), shape, cond)
-                    out += [(page_id, source, cipher, token, symbols(token, cipher), sure, shape != "swapped" or token in strong) for token, sure in tokens.items()]
+                    if shape == "swapped":
+                        named = dict.fromkeys(tokens, best_cipher(list(strong), shape, cond, signs))
+                    else:
+                        named = ciphers_of(list(tokens), shape, cond, signs)
+                    out += [(page_id, source, cipher, token, symbols(token, cipher), tokens[token], shape != "swapped" or token in strong) for token, cipher in named.items()]
             cols = list(zip(*out)) if out else [[]] * 7
             kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=["page_id", "source_id", "cipher", "token", "coded", "sure", "evidence"])
@@ -235,15 +278,76 @@ def _scan(cond: list[list[float]]):
     return run
 
 
-#: Rounds of expectation-maximization, and the weight in occurrences of what the start says of a symbol.
-ROUNDS, TRUST = 12, 50.0
+#: Rounds of expectation-maximization, the weight in occurrences of what a public start says of a symbol, and starts from the source's own counts.
+ROUNDS, TRUST, OWN_STARTS = 12, 5.0, 10
+#: What a mapping that no code page gives must gain: the choice of one of all orders of the letters.
+OWN_COST = float(np.log(np.arange(1, len(charmodel.LETTERS) + 1)).sum())
+#: Log-likelihood a letter pair by which a public swap may stay below the corpus' own text before other mappings are tried.
+NEAR = 0.35
+
+
+def _expect(counts: np.ndarray, start: np.ndarray, language: np.ndarray, rounds: int) -> np.ndarray:
+    """Expected count of each letter (rows) behind each symbol, after ``rounds`` rounds; number 0 is the edge of a word.
+
+    E-step: the expected count of each letter pair behind each symbol pair, under the language's bigrams and the present
+    emission probabilities. M-step: emissions from those counts and the start's.
+    """
+    emit = start / start.sum(1, keepdims=True)
+    weight = start
+    for _ in range(rounds):
+        expect = emit.T @ language @ emit
+        ratio = np.divide(counts, expect, out=np.zeros_like(counts), where=expect > 0)
+        weight = emit * (language @ emit @ ratio.T) + emit * (language.T @ emit @ ratio)
+        emit = weight + start
+        emit[0, 1:] = 0
+        emit[1:, 0] = 0
+        emit /= emit.sum(1, keepdims=True)
+    return weight + start
+
+
+def _likelihood(counts: np.ndarray, letter: np.ndarray, joint: np.ndarray) -> float:
+    """Log-likelihood of the symbol pairs if each symbol stands for one letter; symbols of one letter share it by their counts."""
+    n = counts.sum(0)
+    of = np.bincount(letter, n, len(joint))[letter]
+    return float((counts * joint[np.ix_(letter, letter)]).sum() + (n * np.log(np.maximum(n, 1e-9) / np.maximum(of, 1e-9))).sum())
+
+
+def _settle(counts: np.ndarray, letter: np.ndarray, joint: np.ndarray, free: np.ndarray) -> tuple[float, np.ndarray]:
+    """The nearest mapping that no exchange of two symbols' letters and no other letter for one symbol makes likelier; and its likelihood."""
+    value = _likelihood(counts, letter, joint)
+    while True:
+        worth = counts @ joint[:, letter].T + counts.T @ joint[letter]
+        now = worth[np.arange(len(letter)), letter]
+        gain = worth[:, letter] + worth[:, letter].T - now[:, None] - now[None, :]
+        gain[~free], gain[:, ~free] = -np.inf, -np.inf
+        better = None
+        for flat in np.argsort(-np.triu(gain, 1), axis=None)[:40]:
+            a, b = divmod(int(flat), len(letter))
+            trial = letter.copy()
+            trial[a], trial[b] = letter[b], letter[a]
+            if free[a] and free[b] and (v := _likelihood(counts, trial, joint)) > value + 1e-9:
+                better = v, trial
+                break
+        if better is None:
+            move = np.where(free[:, None], worth - now[:, None], -np.inf)
+            move[:, 0] = -np.inf
+            for flat in np.argsort(-move, axis=None)[:40]:
+                a, to = divmod(int(flat), len(joint))
+                trial = letter.copy()
+                trial[a] = to
+                if free[a] and to and (v := _likelihood(counts, trial, joint)) > value + 1e-9:
+                    better = v, trial
+                    break
+        if better is None:
+            return value, letter
+        value, letter = better
 
 
 def learn_mapping(pairs: pd.DataFrame, cipher: str, joint: np.ndarray, rounds: int = ROUNDS) -> dict[str, str]:
     """Symbol -> letter from counted symbol pairs (a, b, n; an empty string is the edge of a word).
 
-    E-step: the expected count of each letter pair behind each symbol pair, under the language's bigrams and the present
-    emission probabilities. M-step: emissions from those counts and the start's. ``unknown`` starts from frequency ranks.
+    The public start is the swap ``cipher`` names; those from the source's own counts rank symbols and letters by frequency, each with other ties and
+    neighbours. They are tried where there is no public start or its solution stays below the likelihood of the corpus' own text.
     """
     names = sorted((set(pairs["a"]) | set(pairs["b"])) - {""})
     if not names:
@@ -253,38 +357,38 @@ def learn_mapping(pairs: pd.DataFrame, cipher: str, joint: np.ndarray, rounds: i
     np.add.at(counts, (pairs["a"].map(index).to_numpy(), pairs["b"].map(index).to_numpy()), pairs["n"].to_numpy(float))
     language = np.exp(joint)
     size = len(charmodel.LETTERS) + 1
-    start = np.full((size, len(names) + 2), 0.02)  # the last column: symbols that do not occur here
-    start[:, 0] = 0
-    start[0, :] = 0
-    start[0, 0] = 1
-    counts = np.pad(counts, (0, 1))
-    if cipher == "unknown":
-        letters = np.argsort(-language.sum(1)[1:], kind="stable") + 1
-        for rank, s in enumerate(np.argsort(-counts.sum(1)[1:], kind="stable") + 1):
-            share = np.exp(-0.5 * ((np.arange(len(letters)) - min(rank, len(letters) - 1)) / 4.0) ** 2)
-            start[letters, s] += share / share.sum()
-    else:
+    free = np.arange(len(names) + 1) > 0
+    own_text = float((language * joint).sum())
+    given = {s: seed(s, cipher) for s in names}
+    best, letter = -np.inf, None
+    if cipher != "unknown":
+        start = np.full((size, len(names) + 2), 0.02)  # the last column: symbols that do not occur here
+        start[:, 0], start[0, :], start[0, 0] = 0, 0, 1
         for s in names:
-            letter = charmodel.NUMBER.get(seed(s, cipher).lower())
-            if letter:
-                start[letter, index[s]] += TRUST
+            if at := charmodel.NUMBER.get(given[s].lower()):
+                start[at, index[s]] += TRUST
         start[1:, -1] += np.where((start[1:, 1:-1] < 1).all(1), TRUST, 0)
-    emit = start / start.sum(1, keepdims=True)
-    for _ in range(rounds):
-        expect = emit.T @ language @ emit
-        ratio = np.divide(counts, expect, out=np.zeros_like(counts), where=expect > 0)
-        weight = emit * (language @ emit @ ratio.T) + emit * (language.T @ emit @ ratio)
-        emit = weight + start
-        emit[0, 1:] = 0
-        emit[1:, 0] = 0
-        emit /= emit.sum(1, keepdims=True)
-    expected = weight + start
-    out = {}
-    for s in names:
-        letter = charmodel.LETTERS[int(np.argmax(expected[1:, index[s]]))]
-        given = seed(s, cipher)
-        out[s] = letter.upper() if given.isupper() else letter
-    return out
+        found = _expect(np.pad(counts, (0, 1)), start, language, rounds)
+        letter = np.concatenate(([0], 1 + np.argmax(found[1:, 1:-1], 0)))
+        best = _likelihood(counts, letter, joint)
+    total = counts.sum()
+    if letter is None or best < (own_text - NEAR) * total and own_text * total - OWN_COST > best:
+        chance = np.random.default_rng(len(names))
+        letters = np.argsort(-language.sum(1)[1:], kind="stable") + 1
+        cost = 0.0 if letter is None else OWN_COST
+        for k in range(OWN_STARTS if total > 300 else 1):
+            ranks = counts.sum(1)[1:] * np.exp(0.25 * chance.standard_normal(len(names)) * (k > 0))
+            start = np.full((size, len(names) + 1), 0.02)
+            start[:, 0], start[0, :], start[0, 0] = 0, 0, 1
+            cases = 2 if len(names) > 1.2 * len(letters) else 1  # capitals and small letters have symbols of their own
+            for rank, s in enumerate(np.argsort(-ranks, kind="stable") + 1):
+                share = np.exp(-0.5 * ((np.arange(len(letters)) - min(rank / cases, len(letters) - 1)) / 3.0) ** 2)
+                start[letters, s] += share / share.sum()
+            found = _expect(counts, start, language, 4 * rounds)
+            value, trial = _settle(counts, np.concatenate(([0], 1 + np.argmax(found[1:, 1:], 0))), joint, free)
+            if value - cost > best:
+                best, letter = value - cost, trial
+    return {s: charmodel.LETTERS[at - 1].upper() if given[s].isupper() else charmodel.LETTERS[at - 1] for s, at in zip(names, letter[1:])}
 
 
 def _pairs(tokens: DataFrame) -> DataFrame:
@@ -322,18 +426,34 @@ def _mappings(pairs: DataFrame, joint: np.ndarray) -> DataFrame:
     return pairs.groupBy("source_id", "cipher").applyInPandas(run, "source_id string, cipher string, `from` string, `to` string")
 
 
-def _judge(cond: list[list[float]]):
-    """Keeps tokens that are garbled by their signs or read as language only after translation; signs take what the code pages say."""
+_LOST = "�"
+
+
+def _fill(text: str, cond: list[list[float]]) -> str:
+    """Each lost character between letters as the likeliest letter."""
+    out = list(text)
+    for i, c in enumerate(out):
+        if c == _LOST:
+            before = charmodel.NUMBER.get(out[i - 1].lower(), 0) if i else 0
+            after = charmodel.NUMBER.get(out[i + 1].lower(), 0) if i + 1 < len(out) else 0
+            if before or after:
+                out[i] = max(charmodel.LETTERS, key=lambda x: cond[before][charmodel.NUMBER[x]] + cond[charmodel.NUMBER[x]][after])
+    return "".join(out)
+
+
+def _judge(cond: list[list[float]], signs: dict[str, float]):
+    """Keeps tokens that the mapping makes likelier; signs take what the code pages say."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for page_id, cipher, token, sure, evidence, text in zip(*(c.to_pylist() for c in batch.columns)):
-                text = "".join(c if c in _LETTER else seed(c, cipher) for c in text) if cipher.startswith("utf8:") or any(ord(c) > 0x7F and c not in _LETTER for c in text) else text
+                if cipher.startswith("utf8:") or any(ord(c) > 0x7F and c not in _LETTER for c in text):
+                    text = "".join(c if c in _LETTER or (sign := seed(c, cipher)) in _LETTER else sign for c in text)
                 total, count = _reads(text, cond)
                 before, n = _reads(token, cond)
-                reads = count > 0 and total / count > (READABLE if not _LATIN1.search(token) else -6.0)
-                if sure or reads and (not n or total / count > before / n + GAIN):
+                reads = count > 0 and text != token and total / count > (READABLE if not _LATIN1.search(token) else -6.0) and (not n or total / count > before / n + GAIN)
+                if reads or sure and likelihood(_fill(text, cond), cond, signs) + SURE_WORTH > likelihood(token, cond, signs) + NEED:
                     out.append((page_id, token, text, evidence))
             cols = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.bool_()))], names=["page_id", "token", "restored", "evidence"])
@@ -347,13 +467,14 @@ def garbled_rows(pages: DataFrame) -> DataFrame:
     Without ``evidence``, a token is only worth translating where another one shows that the page is affected.
     """
     work = Scratch(pages.sparkSession, "garbled")
-    joint = charmodel.letter_bigrams(charmodel.word_counts(pages))
+    counts = work.cut(charmodel.word_counts(pages).filter(charmodel.IN_MODEL), "counts")
+    joint, signs = charmodel.letter_bigrams(counts), charmodel.sign_shares(counts)
     cond = charmodel.conditional(joint)
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("source_id", F.lit("")).alias("source_id"), "parser", "text").filter("page_id is not null")
-    tokens = work.cut(rows.mapInArrow(_scan(cond), "page_id bigint, source_id string, cipher string, token string, coded string, sure boolean, evidence boolean"), "tokens")
+    tokens = work.cut(rows.mapInArrow(_scan(cond, signs), "page_id bigint, source_id string, cipher string, token string, coded string, sure boolean, evidence boolean"), "tokens")
     maps = work.cut(_mappings(_pairs(tokens), joint), "maps")
     decoded = tokens.join(maps, ["source_id", "cipher"], "left").withColumn("text", F.expr("coalesce(translate(coded, `from`, `to`), coded)"))
-    return decoded.select("page_id", "cipher", "token", "sure", "evidence", "text").mapInArrow(_judge(cond), "page_id bigint, token string, restored string, evidence boolean")
+    return decoded.select("page_id", "cipher", "token", "sure", "evidence", "text").mapInArrow(_judge(cond, signs), "page_id bigint, token string, restored string, evidence boolean")
 
 
 def found_pages(pages: DataFrame) -> DataFrame:
