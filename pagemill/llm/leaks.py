@@ -1,8 +1,8 @@
 """Evaluation texts leaking into training text.
 
 Every shard of the training text gets a suffix array over its words. Every suffix of every test item is searched in
-it by bisection, one more word per step, until its interval is empty: that gives the longest verbatim match and all
-places where at least MIN_RUN words match. Words that no test item has cannot be part of a match; they and runs too
+it by bisection, one more word per step, which leaves an interval of the array: the places where at least MIN_RUN words match. They
+are carried on to the longest verbatim match, a bounded number of places at a time. Words that no test item has cannot be part of a match; they and runs too
 short for a match are cut out before sorting, which leaves the result as it is.
 """
 
@@ -22,6 +22,8 @@ MIN_RUN = 12
 BLOCK_CHARS = 16_000_000
 #: Words of training text in one suffix array.
 SHARD_WORDS = 4_000_000
+#: Matches whose places are looked at together; intervals with more places are taken in parts.
+PLACES = 2_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -77,8 +79,8 @@ class Items:
         self.first = np.concatenate(([0], ends[:-1] + 1))
         self.longest = int(self.left.max(initial=0))
 
-    def search(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Item number, place in ``tokens``, length and place in the item of each match of at least MIN_RUN words."""
+    def search(self, tokens: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Item number, place in ``tokens``, length and place in the item of each match of at least MIN_RUN words that is part of no longer one, in parts."""
         sa = suffix_array(tokens, starts, self.longest)
         q = np.flatnonzero(self.left >= MIN_RUN)
         lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(sa), np.int64)
@@ -87,17 +89,31 @@ class Items:
             lo, hi = _bisect(tokens, sa, lo, hi, at, want, False), _bisect(tokens, sa, lo, hi, at, want, True)
             keep = lo < hi
             q, lo, hi = q[keep], lo[keep], hi[keep]
-        many = hi - lo
-        query = np.repeat(q, many)
-        place = sa[np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)] if len(query) else np.zeros(0, np.int64)
-        length = np.full(len(query), MIN_RUN, np.int64)
-        going = np.arange(len(query))
-        while len(going):  # the match is carried on to its full length
-            a, b = query[going] + length[going], place[going] + length[going]
-            same = (self.tokens[a] >= 0) & (self.tokens[a] == tokens[np.minimum(b, len(tokens) - 1)])
-            going = going[same]
-            length[going] += 1
-        return self.owner[query], place, length, query - self.first[self.owner[query]]
+        yield from self._placed(tokens, sa, q, lo, hi)
+
+    def _placed(self, tokens: np.ndarray, sa: np.ndarray, q: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+        """The matches of the intervals [lo, hi) of the suffix array, at most PLACES at a time.
+
+        A match that could begin a word earlier on both sides is part of that longer one and left out.
+        """
+        ends = np.cumsum(hi - lo)
+        total = int(ends[-1]) if len(ends) else 0
+        for begin in range(0, total, PLACES):
+            flat = np.arange(begin, min(begin + PLACES, total))
+            of = np.searchsorted(ends, flat, side="right")
+            query, place = q[of], sa[lo[of] + flat - (ends - (hi - lo))[of]]
+            inner = (query > 0) & (place > 0)
+            before = inner & (self.tokens[query - 1] >= 0) & (self.tokens[query - 1] == tokens[place - 1])
+            query, place = query[~before], place[~before]
+            length = np.full(len(query), MIN_RUN, np.int64)
+            going = np.arange(len(query))
+            while len(going):  # the match is carried on to its full length
+                a, b = query[going] + length[going], place[going] + length[going]
+                same = (self.tokens[a] >= 0) & (self.tokens[a] == tokens[np.minimum(b, len(tokens) - 1)])
+                going = going[same]
+                length[going] += 1
+            if len(query):
+                yield self.owner[query], place, length, query - self.first[self.owner[query]]
 
 
 def _shards(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -147,13 +163,13 @@ def _search(items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: Items = items.value
         for tokens, starts, owner, within in _shards(batches, table.number):
-            item, place, length, spot = table.search(tokens, starts)
-            order = np.lexsort((spot, within[place], -length, item, owner[place]))
-            item, place, length, spot = item[order], place[order], length[order], spot[order]
-            doc = owner[place]
-            first = np.ones(len(doc), bool)
-            first[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(table.ids[item[first]]), pa.array(length[first]), pa.array(within[place[first]]), pa.array(spot[first])], names=["doc_id", "item_id", "n_words", "doc_word", "item_word"])
+            for item, place, length, spot in table.search(tokens, starts):
+                order = np.lexsort((spot, within[place], -length, item, owner[place]))
+                item, place, length, spot = item[order], place[order], length[order], spot[order]
+                doc = owner[place]
+                first = np.ones(len(doc), bool)
+                first[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(table.ids[item[first]]), pa.array(length[first]), pa.array(within[place[first]]), pa.array(spot[first])], names=["doc_id", "item_id", "n_words", "doc_word", "item_word"])
 
     return run
 

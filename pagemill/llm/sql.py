@@ -18,7 +18,14 @@ dg as (select doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: arr
 eg as (select item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) as g from e where len(w) >= 12),
 leak as (select distinct doc_id, item_id from dg join eg using (g))"""
 
+_PLACES = _LEAKS.split("dg as")[0] + """
+dg as (select doc_id, unnest(range(0, len(w) - 11)) as di, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) as g from d where len(w) >= 12),
+eg as (select item_id, unnest(range(0, len(w) - 11)) as ei, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) as g from e where len(w) >= 12),
+m as (select doc_id, item_id, di, ei, di - row_number() over (partition by doc_id, item_id, di - ei order by di) as run from dg join eg using (g)),
+r as (select doc_id, item_id, count(*) + 11 as n_words, min(di) as doc_word, min(ei) as item_word from m group by doc_id, item_id, di - ei, run)"""
+
 SQL = {
+    "p7_longest": _PLACES + " select doc_id, item_id, n_words, doc_word, item_word from r qualify row_number() over (partition by doc_id, item_id order by n_words desc, doc_word, item_word) = 1",
     "p7_found": _LEAKS + " select doc_id, item_id from leak",
     "p7_clean": _LEAKS + " select doc_id, text from documents where doc_id is null or doc_id not in (select doc_id from leak)",
     "p3_found": _REPEATED + " select distinct page_id, cast(line_no as integer) as line_no from hit",

@@ -40,6 +40,23 @@ def test_brute_force(spark):
     assert sorted((r.doc_id, r.item_id) for r in run(spark, docs, items).collect()) == brute(docs, items)
 
 
+def test_places_in_parts(spark, monkeypatch):
+    """Repetitive text, where every suffix of an item stands in very many places."""
+    docs = [(1, "а б " * 300), (2, "а " * 200 + "б " * 200), (3, "б " * 11)]
+    items = [(7, "а б " * 20), (8, "а " * 30)]
+    first = sorted(run(spark, docs, items, L.longest_matches).collect())
+    assert [tuple(r) for r in first] == [(1, 7, 40, 0, 0), (2, 8, 30, 0, 0)]
+    docs, items = data()
+    whole = sorted(run(spark, docs, items, L.longest_matches).collect())
+    table = L.Items([(1, "а б " * 20), (2, "а " * 30)])
+    tokens = L.np.array([table.number[w] for w in L.words_of("а " * 50 + "а б " * 30)] + [-1])
+    for places in (1, 7, 1000):
+        monkeypatch.setattr(L, "PLACES", places)
+        found = {tuple(int(x) for x in m) for part in table.search(tokens, L.np.arange(len(tokens) - 1)) for m in zip(*part)}
+        assert {(0, 50, 40, 0), (1, 0, 30, 0)} <= found and len(found) < 200
+    assert sorted(run(spark, docs, items, L.longest_matches).collect()) == whole
+
+
 def test_blocks_and_shards(spark, monkeypatch):
     docs, items = data()
     first = sorted(run(spark, docs, items).collect())
