@@ -1,9 +1,10 @@
 """Visually identical text with different characters.
 
 The skeleton of a text: decompose it, replace every character by its prototype from the look-alike table, decompose
-again. Originals with equal skeletons are grouped; the script of a group's dominant original (or, where it has only one,
-the language model of the other script) tells in which script the word is written. The form of a page puts everything
-into composed ordinary characters and each word into its own script.
+again. Originals, the words and pieces of text that may be stored in an unusual way, are grouped by equal skeleton together with
+the corpus' plain words. The group tells how an original is written: a mixed word takes the spelling of its dominant plain
+member; a word wholly in another script is judged by the counts of both spellings or, where it stands alone, by the
+language model of the other script. The forms of a page are what sets its originals apart from their right spelling.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ _ROWS = [row.split() for row in LOOK_ALIKE.replace("\n", " ").split(",")]
 TO = {(a, b): {r[a]: r[b] for r in _ROWS if r[a] != "-" and r[b] != "-"} for a in range(3) for b in range(3) if a != b}
 PROTOTYPE = str.maketrans({r[k]: r[0] for r in _ROWS for k in (1, 2) if r[k] != "-"})
 
-#: Share of all pages, and least number of them, on which a Latin word that could also be Cyrillic counts as a word of its own.
-GENUINE_SHARE, GENUINE_PAGES = 0.005, 20
+#: Share of all pages from which a Latin or Greek word that could also be Cyrillic counts as a word of its own, and the standard deviations by which its count must be above it.
+GENUINE_SHARE, CERTAIN = 0.005, 2.0
 #: Times as often as the other original that a group's dominant original must stand.
 DOMINANT = 20
 #: Mean log-probability from which letters read as a Cyrillic word.
@@ -48,6 +49,7 @@ _RARE = re.compile(r"[^\x00-\x7fА-яЁё«»—–№°²³]")
 _RUN = re.compile(r"(?:[^\W\d_]|[̀-ͯ])+")
 _MIXED = re.compile(r"[A-Za-zͰ-Ͽ][А-Яа-яЁёЀ-џԀ-ԯ]|[А-Яа-яЁёЀ-џԀ-ԯ][A-Za-zͰ-Ͽ]|[A-Za-z][Ͱ-Ͽ]|[Ͱ-Ͽ][A-Za-z]")
 _LATIN_WHOLE = re.compile("(?<![^\\W\\d_])[" + "".join(TO[LATIN, CYRILLIC]) + "]{2,}(?![^\\W\\d_])")
+_GREEK_WHOLE = re.compile("(?<![^\\W\\d_])[" + "".join(TO[GREEK, CYRILLIC]) + "]{2,}(?![^\\W\\d_])")
 _CYRILLIC_WHOLE = re.compile("(?<![^\\W\\d_])[" + "".join(TO[CYRILLIC, LATIN]) + "]{2,}(?![^\\W\\d_])")
 _TOKEN = re.compile(r"[^ \n\t\r]+")
 _FORMULA = re.compile(r"\$\$.*?\$\$", re.S)
@@ -117,110 +119,150 @@ def _blank(text: str, tokens: set[str]) -> str:
     return _TOKEN.sub(lambda m: " " if m[0] in tokens else m[0], text) if tokens else text
 
 
-def page_forms(text: str) -> tuple[set[str], set[str]]:
-    """Forms on a page, and its whole words that may be written with another script's letters."""
+def originals(text: str) -> set[str]:
+    """What on a page may be stored with unusual characters: pieces between blanks that hold some, and words of mixed scripts or of look-alikes only."""
     text = _blank(text, garbled_tokens(text))
-    forms: set[str] = set()
-    if rare := set(_RARE.findall(text)):
-        kinds = {c: kind(c) for c in rare}
-        forms = {k for k in kinds.values() if k and k != "mark"}
-        if "mark" in kinds.values():
-            for m in re.finditer(r"[^\W\d_][" + "".join(c for c, k in kinds.items() if k == "mark") + "]+", text):
-                if len(unicodedata.normalize("NFC", m[0])) < len(unicodedata.normalize("NFD", m[0])):
-                    forms.add("combining")
-                    break
+    out: set[str] = set()
+    if any(kind(c) for c in set(_RARE.findall(text))):
+        out = {t for t in set(_TOKEN.findall(text)) if any(kind(c) for c in _RARE.findall(t))}
         text = _shape(text)
     if _MIXED.search(text):
-        for m in _RUN.finditer(text):
-            if _MIXED.search(m[0]) and _own_script(m[0]) is not None:
-                forms.add("look_alike")
-                break
+        out.update(m[0] for m in _RUN.finditer(text) if _MIXED.search(m[0]))
     plain = _FORMULA.sub(" ", text)
-    return forms, set(_LATIN_WHOLE.findall(plain)) | set(_CYRILLIC_WHOLE.findall(plain))
+    return out.union(_LATIN_WHOLE.findall(plain), _CYRILLIC_WHOLE.findall(plain), _GREEK_WHOLE.findall(plain))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, forms, words = [], [], []
+        ids, found = [], []
         for page_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if not text:
-                continue
-            found, whole = page_forms(text)
-            for form in found:
-                ids.append(page_id), forms.append(form), words.append(None)
-            for word in whole:
-                ids.append(page_id), forms.append(None), words.append(word)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(forms, pa.string()), pa.array(words, pa.string())], names=["page_id", "form", "word"])
+            mine = originals(text) if text else ()
+            ids += [page_id] * len(mine)
+            found += mine
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], names=["page_id", "original"])
 
 
-def judge_groups(words: DataFrame, n_pages: int, bigrams: np.ndarray) -> DataFrame:
-    """word, right: the originals that are written with another script's letters, with the right spelling.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each original in plain characters, with their skeletons."""
+    for batch in batches:
+        rows = [(o, w, skeleton(w)) for o in batch.column(0).to_pylist() for w in set(_RUN.findall(_shape(o)))]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in (zip(*rows) if rows else [[]] * 3)], names=["original", "word", "skeleton"])
 
-    ``words``: word, n (pages). Grouped by skeleton, each group has at most one Latin and one Cyrillic original.
-    """
-    cond = charmodel.conditional(bigrams)
-    genuine = max(GENUINE_PAGES, GENUINE_SHARE * n_pages)
-    latin_to, cyrillic_to = TO[LATIN, CYRILLIC], TO[CYRILLIC, LATIN]
 
-    def run(batches):
+def _plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of one script, with skeleton and script."""
+    for batch in batches:
+        rows = []
+        for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            scripts = {script(c) for c in w}
+            if len(scripts) == 1 and None not in scripts:
+                rows.append((skeleton(w), w, scripts.pop(), n))
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)], names=["skeleton", "word", "script", "n"])
+
+
+def _spelling(word: str, group: dict[int, tuple[str, int]], genuine: int, cond: list[list[float]]) -> str:
+    """The right spelling of a word by the plain members of its group (script -> word, count)."""
+    scripts = {s for s in map(script, word) if s is not None}
+    if len(scripts) > 1:
+        ways = {s: to_script(word, s) for s in scripts}
+        known = [(n, w) for s, (w, n) in group.items() if ways.get(s) == w]
+        if known:
+            return max(known)[1]
+        own = _own_script(word)
+        return word if own is None else to_script(word, own)
+    if len(scripts) != 1 or len(word) < 2:
+        return word
+    own = scripts.pop()
+    a, b = group.get(own, ("", 0))[1], group.get(CYRILLIC, ("", 0))[1]
+    if own in (LATIN, GREEK) and all(c in TO[own, CYRILLIC] for c in word) and a - CERTAIN * a**0.5 < genuine and (b or len(word) >= 3):
+        right = to_script(word, CYRILLIC)
+        low = right.lower()
+        if b and b >= DOMINANT * a or len(word) >= 3 and set(low) <= set(charmodel.LETTERS) and charmodel.mean_score(low, cond) > CYRILLIC_SCORE:
+            return right
+    latin = group.get(LATIN, ("", 0))[1]
+    if own == CYRILLIC and all(c in TO[CYRILLIC, LATIN] for c in word) and latin - CERTAIN * latin**0.5 >= genuine and latin >= DOMINANT * a:
+        return to_script(word, LATIN)
+    return word
+
+
+def _judge(genuine: float, cond: list[list[float]]):
+    """original, right, forms of each original that is not as it should be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[str, str]] = []
-            for latin, a, cyr, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if latin and a < genuine and (b or len(latin) >= 3):
-                    right = "".join(latin_to[c] for c in latin)
-                    low = right.lower()
-                    if b and b >= DOMINANT * a or len(latin) >= 3 and set(low) <= set(charmodel.LETTERS) and charmodel.mean_score(low, cond) > CYRILLIC_SCORE:
-                        out.append((latin, right))
-                if cyr and a and a >= genuine and a >= DOMINANT * b:
-                    out.append((cyr, "".join(cyrillic_to[c] for c in cyr)))
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([r for _, r in out], pa.string())], names=["word", "right"])
-
-    latin = F.col("word") < F.lit("\x80")
-    groups = words.withColumn("skeleton", F.translate("word", "".join(cyrillic_to), "".join(cyrillic_to.values())))
-    groups = groups.groupBy("skeleton").agg(F.max(F.when(latin, F.col("word"))), F.max(F.when(latin, F.col("n"))), F.max(F.when(~latin, F.col("word"))), F.max(F.when(~latin, F.col("n"))))
-    return groups.drop("skeleton").mapInArrow(run, "word string, right string")
-
-
-def _whole_words(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The scan's rows (page_id, form, word), and the words judged as written with another script's letters."""
+            rows = []
+            for original, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                groups: dict[str, dict[int, tuple[str, int]]] = {}
+                for r in runs:
+                    group = groups.setdefault(r["word"], {})
+                    if r["script"] is not None:
+                        group[r["script"]] = (r["plain"], r["n"])
+                plain = _shape(original)
+                right = _RUN.sub(lambda m: _spelling(m[0], groups.get(m[0], {}), genuine, cond), plain)
+                kinds = {k for c in set(_RARE.findall(original)) if (k := kind(c))}
+                forms = kinds - {"mark"} | ({"look_alike"} if right != plain else set())
+                if "mark" in kinds and len(unicodedata.normalize("NFC", original)) < len(unicodedata.normalize("NFD", original)) and unicodedata.normalize("NFC", original) != original:
+                    forms.add("combining")
+                if right != original:
+                    rows.append((original, right, sorted(forms)))
+            kinds_ = (pa.string(), pa.string(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 3, kinds_)], names=["original", "right", "forms"])
+
+    return run
+
+
+def judge_groups(counts: DataFrame, words: DataFrame, n_pages: int, bigrams: np.ndarray) -> DataFrame:
+    """original, right, forms of the originals (``counts``: original, n pages) that differ from their right spelling.
+
+    ``words``: word, n of the corpus. Groups have at most one plain member per script; a word of look-alikes only counts by its pages.
+    """
+    runs = counts.select("original").mapInArrow(_runs, "original string, word string, skeleton string")
+    whole = F.col("original").rlike(f"^(?:[{''.join(TO[LATIN, CYRILLIC])}]+|[{''.join(TO[CYRILLIC, LATIN])}]+|[{''.join(TO[GREEK, CYRILLIC])}]+)$")
+    plain = counts.filter(whole).select(F.col("original").alias("word"), "n").unionByName(words.filter(~F.expr("length(word) = 1")).select("word", "n").join(counts.filter(whole).select(F.col("original").alias("word")), "word", "left_anti"))
+    plain = plain.mapInArrow(_plain_words, "skeleton string, word string, script int, n bigint")
+    plain = plain.groupBy("skeleton", "script").agg(F.max_by("word", F.struct("n", "word")).alias("plain"), F.max("n").alias("n"))
+    grouped = runs.join(plain, "skeleton", "left").groupBy("original").agg(F.collect_list(F.struct("word", "script", "plain", "n")).alias("runs"))
+    rest = counts.select("original").join(grouped, "original", "left").select("original", F.coalesce("runs", F.array().cast("array<struct<word:string,script:int,plain:string,n:bigint>>")).alias("runs"))
+    return rest.mapInArrow(_judge(GENUINE_SHARE * n_pages, charmodel.conditional(bigrams)), "original string, right string, forms array<string>")
+
+
+def _spellings(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The originals of each page (page_id, original), and those to be put right (original, right, forms)."""
     work = Scratch(pages.sparkSession, "confusables")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "text")
-    scan = work.cut(rows.mapInArrow(_scan, "page_id bigint, form string, word string"), "scan")
-    bigrams = charmodel.letter_bigrams(charmodel.word_counts(pages))
-    words = scan.filter("word is not null").groupBy("word").agg(F.count("*").alias("n"))
-    return scan, work.cut(judge_groups(words, pages.count(), bigrams), "wrong")
+    scan = work.cut(rows.mapInArrow(_scan, "page_id bigint, original string"), "scan")
+    words = work.cut(charmodel.word_counts(pages), "words")
+    counts = scan.groupBy("original").agg(F.count("*").alias("n"))
+    return scan, work.cut(judge_groups(counts, words, pages.count(), charmodel.letter_bigrams(words)), "wrong")
 
 
 def found_forms(pages: DataFrame) -> DataFrame:
     """page_id, form: the kinds of difference on each page.
 
-    Null and empty texts and rows without a page_id have none; a repeated row adds nothing; extra columns are not read.
+    Null and empty texts and rows without a page_id have none; a repeated row adds nothing; extra columns are not read. Single
+    letters are not judged: as units and designations they stand in any script.
     """
-    scan, wrong = _whole_words(pages)
-    direct = scan.filter("form is not null").select("page_id", "form")
-    whole = scan.filter("word is not null").join(wrong, "word").select("page_id", F.lit("look_alike").alias("form"))
-    return direct.unionByName(whole).filter("page_id is not null").distinct()
+    scan, wrong = _spellings(pages)
+    return scan.join(wrong, "original").select("page_id", F.explode("forms").alias("form")).filter("page_id is not null").distinct()
 
 
 def normal_form(text: str, right: dict[str, str]) -> str:
-    """The page in its one form; ``right``: whole words in another script's letters -> their right spelling."""
+    """The page in its one form; ``right``: originals -> their right spelling."""
     bad = garbled_tokens(text)
 
-    def word(m: re.Match) -> str:
-        w = m[0]
-        own = _own_script(w) if _MIXED.search(w) else None
-        return to_script(w, own) if own is not None else right.get(w, w)
-
     def token(m: re.Match) -> str:
-        return m[0] if m[0] in bad else _RUN.sub(word, _shape(m[0]))
+        if m[0] in bad or m[0] in right:
+            return right.get(m[0], m[0])
+        return _RUN.sub(lambda r: right.get(r[0], r[0]), _shape(m[0]))
 
     return _TOKEN.sub(token, text)
 
 
 def normalized(pages: DataFrame) -> DataFrame:
     """page_id, text in one consistent form, skeleton_key of the form; null texts stay null."""
-    scan, wrong = _whole_words(pages)
-    fixes = scan.filter("word is not null").join(wrong, "word").groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "right"))).alias("fixes"))
+    scan, wrong = _spellings(pages)
+    fixes = scan.join(wrong, "original").groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("original", "right"))).alias("fixes"))
     rows = pages.select("page_id", "text").join(fixes, "page_id", "left")
 
     def run(batches):

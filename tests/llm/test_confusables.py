@@ -1,5 +1,3 @@
-import pytest
-
 from pagemill.llm import confusables as C
 
 SCHEMA = "page_id long, text string, form string, word string, n long"
@@ -16,9 +14,27 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("text,forms", CASES)
-def test_forms(text, forms):
-    assert C.page_forms(text)[0] == forms
+def test_forms(spark):
+    got = {}
+    for r in C.found_forms(frame(spark, *(t for t, _ in CASES))).collect():
+        got.setdefault(r.page_id, set()).add(r.form)
+    assert [got.get(i, set()) for i in range(len(CASES))] == [f for _, f in CASES]
+
+
+def test_the_group_decides(spark):
+    """A mixed word all of whose letters have look-alikes takes the spelling that the corpus has; without skeletons nothing is found."""
+    latin = ["the CAT and the CAT sat"] * 30
+    pages = frame(spark, *latin, "САT", "сaх", *["сах"] * 3)
+    assert {r.page_id: r.text for r in C.normalized(pages).collect()}[30] == "CAT"
+    greek = frame(spark, *["восток и карта, мера и норма"] * 40, "слово ΚΑΡΤΑ тут", "νοτα")
+    assert {(r.page_id, r.form) for r in C.found_forms(greek).collect()} == {(40, "look_alike")}
+
+
+def test_same_page_same_result_in_a_larger_table(spark):
+    few = ["Составлена карта и схема, норма и мера"] * 60
+    for times in (1, 4):
+        pages = frame(spark, *few * times, *["Слово KAPTA тут"] * times, *["Датчик PM и KOH"] * 3 * times)
+        assert {r.page_id for r in C.found_forms(pages).collect()} == set(range(60 * times, 61 * times))
 
 
 def test_whole_words_by_group_and_model(spark):
