@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from pagemill.storage import Scratch
 
-#: Children of one parent beyond which they are spread over blocks, each under a weightless helper node.
+#: Children of one parent beyond which they are spread over blocks in their order, each under a weightless helper node.
 BLOCK = 100_000
+#: Level of the largest dyadic blocks: 2^TOP nodes meet in one key of the containment join, whatever the size of their tree.
+TOP = 14
 
 
 def present(col: Column, missing: tuple[str, ...] = ("", "nan")) -> Column:
@@ -39,7 +41,7 @@ class Forest:
 
     ``names``: nid, node, parent.
     ``nodes``: nid, root, depth, entry, exit; one row per node, also of trees below a cycle.
-    ``cycle``: nid of the nodes on cycles. ``links``: nid, pid, lost.
+    ``cycle``: nid of the nodes on cycles. ``links``: nid, pid, node, lost.
     """
 
     names: DataFrame
@@ -61,19 +63,21 @@ class Forest:
     def ancestor_pairs(self, of: DataFrame | None = None) -> DataFrame:
         """(ancestor, nid) of every node and each of its proper ancestors, from the intervals alone.
 
-        An ancestor's interval is cut into its dyadic blocks, a node lies in one block per level, so the
+        An ancestor's interval is cut into its dyadic blocks of at most 2^TOP nodes, a node lies in one block per level, so the
         containment is an equi-join on (root, level, block) that yields each pair once.
         """
         of = self.nodes if of is None else of
         spans = (
             self.inner.select(F.col("nid").alias("ancestor"), "root", "entry", "exit")
-            .withColumn("level", F.explode(F.sequence(F.lit(0), F.ceil(F.log2(F.col("exit") - F.col("entry") + 2)).cast("int"))))
+            .withColumn("level", F.explode(F.sequence(F.lit(0), F.least(F.lit(TOP), F.ceil(F.log2(F.col("exit") - F.col("entry") + 2)).cast("int")))))
             .withColumn("lo", F.expr("shiftright(entry + 1 + shiftleft(1L, level) - 1, level)"))  # proper descendants only
             .withColumn("hi", F.expr("shiftright(exit + 1, level)"))
-            .withColumn("block", F.explode(F.expr("array_compact(array(if(lo % 2 = 1 and lo < hi, lo, null), if(hi % 2 = 1 and lo + lo % 2 < hi, hi - 1, null)))")))
+            .withColumn("block", F.explode(F.expr(
+                f"case when level < {TOP} then array_compact(array(if(lo % 2 = 1 and lo < hi, lo, null), if(hi % 2 = 1 and lo + lo % 2 < hi, hi - 1, null))) when lo < hi then sequence(lo, hi - 1) end"
+            )))
             .select("ancestor", "root", "level", "block")
         )
-        sizes = self.inner.filter("nid = root").select("root", F.ceil(F.log2(F.col("exit") + 2)).cast("int").alias("top"))
+        sizes = self.inner.filter("nid = root").select("root", F.least(F.lit(TOP), F.ceil(F.log2(F.col("exit") + 2)).cast("int")).alias("top"))
         points = (
             of.select("nid", "root", "entry").join(sizes, "root").withColumn("level", F.explode(F.sequence(F.lit(0), F.col("top"))))
             .select("nid", "root", "level", F.expr("shiftright(entry, level)").alias("block"))
@@ -126,34 +130,44 @@ def _peel(work: Scratch, links: DataFrame) -> DataFrame:
 
 
 def _spread(work: Scratch, links: DataFrame) -> DataFrame:
-    """nid, pid, ord, real, leaf; children of a parent with very many get helper nodes between, so that no sibling list is long."""
+    """nid, pid, ord, node, real, leaf; children of a parent with very many get helper nodes between, so that no sibling list is long.
+
+    The blocks are ranges of the children in their order, and the helpers stand in the order of the blocks.
+    """
     kids = links.filter("forest_pid is not null").groupBy(F.col("forest_pid").alias("p")).agg(F.count("*").alias("n"))
     kids = work.cut(kids, "kids")
-    tree = links.select("nid", F.col("forest_pid").alias("pid"), "ord").join(kids.select(F.col("p").alias("nid"), F.lit(False).alias("inner")), "nid", "left")
-    tree = tree.select("nid", "pid", "ord", F.lit(1).alias("real"), F.coalesce("inner", F.lit(True)).alias("leaf"))
+    tree = links.select("nid", F.col("forest_pid").alias("pid"), "ord", "node").join(kids.select(F.col("p").alias("nid"), F.lit(False).alias("inner")), "nid", "left")
+    tree = tree.select("nid", "pid", "ord", "node", F.lit(1).alias("real"), F.coalesce("inner", F.lit(True)).alias("leaf"))
     hot = kids.filter(F.col("n") > BLOCK)
-    if hot.isEmpty():
+    size = hot.agg(F.sum("n")).first()[0]
+    if size is None:
         return tree
-    hot = hot.select(F.col("p").alias("pid"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    helper = hot.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    hot = hot.select(F.col("p").alias("pid"))
+    parts = tree.join(hot, "pid", "left_semi").repartitionByRange(-(-size // BLOCK), F.col("pid"), F.col("ord").asc_nulls_first(), F.col("node"))
+    parts = work.cut(parts.withColumn("block", F.spark_partition_id().cast("long")), "blocks")
+    helper = parts.select("pid", "block").distinct()
     helper = work.cut(helper.select("pid", "block", (-1 - F.monotonically_increasing_id()).alias("helper")), "helpers")
-    below = tree.join(hot, "pid", "left").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks"))).join(helper, ["pid", "block"], "left")
-    below = below.select("nid", F.coalesce("helper", "pid").alias("pid"), "ord", "real", "leaf")
-    return below.unionByName(helper.select(F.col("helper").alias("nid"), "pid", F.col("block").cast("long").alias("ord"), F.lit(0).alias("real"), F.lit(False).alias("leaf")))
+    below = parts.join(helper, ["pid", "block"]).select("nid", F.col("helper").alias("pid"), "ord", "node", "real", "leaf")
+    above = helper.select(F.col("helper").alias("nid"), "pid", F.col("block").alias("ord"), F.lit("").alias("node"), F.lit(0).alias("real"), F.lit(False).alias("leaf"))
+    return tree.join(hot, "pid", "left_anti").select(*below.columns).unionByName(below).unionByName(above)
 
 
 def _rank(work: Scratch, tour: DataFrame) -> DataFrame:
-    """List ranking by pointer doubling: e, w, d, last with the sums from e to the end of its list."""
-    now = work.cut(tour.select("e", "nxt", "w", "d", F.col("e").alias("last")), "rank")
-    while not now.filter("nxt is not null").isEmpty():
-        ahead = now.select(F.col("e").alias("f"), F.col("nxt").alias("n2"), F.col("w").alias("w2"), F.col("d").alias("d2"), F.col("last").alias("l2"))
-        moved = now.filter("nxt is not null").join(ahead, F.col("nxt") == F.col("f"))
+    """List ranking by pointer doubling: e, w, d, last with the sums from e to the end of its list.
+
+    Elements whose pointer has reached the end are kept aside and not written again.
+    """
+    ended, going = work.split(tour.select("e", "nxt", "w", "d", F.col("e").alias("last")), F.col("nxt").isNull(), "rank")
+    while going is not None:
+        every = going if ended is None else ended.unionByName(going)
+        ahead = every.select(F.col("e").alias("f"), F.col("nxt").alias("n2"), F.col("w").alias("w2"), F.col("d").alias("d2"), F.col("last").alias("l2"))
+        moved = going.join(ahead, F.col("nxt") == F.col("f"))
         moved = moved.select("e", F.col("n2").alias("nxt"), (F.col("w") + F.col("w2")).alias("w"), (F.col("d") + F.col("d2")).alias("d"), F.col("l2").alias("last"))
-        done = now.filter("nxt is null")
-        after = work.cut(done.unionByName(moved), "rank")
-        work.drop(now)
-        now = after
-    return now.select("e", "w", "d", "last")
+        done, after = work.split(moved, F.col("nxt").isNull(), "rank")
+        work.drop(going)
+        going = after
+        ended = done if ended is None else ended if done is None else ended.unionByName(done)
+    return (tour.withColumn("last", F.col("e")) if ended is None else ended).select("e", "w", "d", "last")
 
 
 def build_forest(rows: DataFrame, node: str, parent: str, order: str | None = None, missing: tuple[str, ...] = ("", "nan")) -> Forest:
@@ -172,14 +186,14 @@ def build_forest(rows: DataFrame, node: str, parent: str, order: str | None = No
     flat = flat.filter("node is not null").groupBy("node").agg(F.min("parent").alias("parent"), place.alias("ord"))
     names = work.cut(flat.withColumn("nid", F.monotonically_increasing_id()), "names")
     ids = names.select(F.col("node").alias("parent"), F.col("nid").alias("pid"))
-    links = names.join(ids, "parent", "left").select("nid", "pid", "ord", F.expr("parent is not null and pid is null").alias("lost"))
+    links = names.join(ids, "parent", "left").select("nid", "pid", "ord", "node", F.expr("parent is not null and pid is null").alias("lost"))
     links = work.cut(links, "links")
     cycle = _peel(work, links)
     cut = cycle.select("nid", F.lit(True).alias("cut"))
-    links = links.join(cut, "nid", "left").select("nid", "pid", "ord", "lost", F.when(F.col("cut").isNull(), F.col("pid")).alias("forest_pid"))
+    links = links.join(cut, "nid", "left").select("nid", "pid", "ord", "node", "lost", F.when(F.col("cut").isNull(), F.col("pid")).alias("forest_pid"))
     tree = work.cut(_spread(work, links), "tree")
 
-    seq = Window.partitionBy("pid").orderBy(F.col("ord").asc_nulls_first(), "nid")
+    seq = Window.partitionBy("pid").orderBy(F.col("ord").asc_nulls_first(), "node")
     run = seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("pid")
     sib = (
@@ -188,10 +202,12 @@ def build_forest(rows: DataFrame, node: str, parent: str, order: str | None = No
         .withColumn("r0", F.coalesce(F.max(F.when(~F.col("leaf"), F.col("r"))).over(run), F.lit(0)))  # leaves before the inner sibling in front
         .withColumn("before", F.last(F.when(~F.col("leaf"), F.col("nid")), True).over(run))
         .withColumn("total", F.sum(F.col("leaf").cast("long")).over(whole))
+        .withColumn("place", F.row_number().over(seq))
     )
-    sib = work.cut(sib.select("nid", "pid", "ord", "leaf", "r", "r0", "before", "total"), "siblings")
+    sib = work.cut(sib.select("nid", "pid", "place", "leaf", "r", "r0", "before", "total"), "siblings")
+    row = Window.partitionBy("pid").orderBy("place")
     links_in = sib.filter("not leaf").select(
-        "nid", "pid", F.lead("nid").over(seq).alias("sibling"), F.row_number().over(seq).alias("i"), "r", (F.coalesce(F.lead("r").over(seq), F.col("total")) - F.col("r")).alias("gap")
+        "nid", "pid", F.lead("nid").over(row).alias("sibling"), F.row_number().over(row).alias("i"), "r", (F.coalesce(F.lead("r").over(row), F.col("total")) - F.col("r")).alias("gap")
     )
     links_in = work.cut(links_in, "inner")
     first = links_in.filter("i = 1").select("pid", F.col("nid").alias("child"), F.col("r").alias("lead"))

@@ -2,7 +2,7 @@
 
 Iterative operators cut their lineage by writing a table and reading it back: a lost executor then
 costs one task, not the whole chain of rounds. The folder is the session's ``spark.checkpoint.dir``;
-only where that is unset (tests on one machine) a temporary folder of this process is used.
+only where that is unset and the session runs on this machine alone (tests) a temporary folder of this process is used.
 """
 
 from __future__ import annotations
@@ -12,17 +12,20 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _local: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a temporary one where none is configured."""
+    """The cluster's shared folder, or a temporary one where none is configured and the master is local; other sessions must name one."""
     global _local
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is unset: on {master} intermediate tables need a folder that all executors share")
     if _local is None:
         _local = tempfile.mkdtemp(prefix="pagemill-")
         atexit.register(shutil.rmtree, _local, ignore_errors=True)
@@ -45,7 +48,6 @@ class Scratch:
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         at_end(spark, self.base)
         self._n = 0
-        self._paths: dict[int, str] = {}
 
     def path(self, label: str = "t") -> str:
         self._n += 1
@@ -55,10 +57,23 @@ class Scratch:
         path = self.path(label)
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
         out._scratch_path = path
         return out
 
+    def split(self, df: DataFrame, test: Column, label: str = "t") -> tuple[DataFrame | None, DataFrame | None]:
+        """Materialises the rows for which ``test`` holds and the others, in one write; null where there are none."""
+        path = self.path(label)
+        df.withColumn("_side", test).write.mode("overwrite").partitionBy("_side").parquet(path)
+        out = []
+        for side in ("true", "false"):
+            target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_side={side}")
+            there = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+            part = self.spark.read.schema(df.schema).parquet(f"{path}/_side={side}") if there else None
+            if part is not None:
+                part._scratch_path = f"{path}/_side={side}"
+            out.append(part)
+        return out[0], out[1]
+
     def drop(self, *frames: DataFrame | None) -> None:
         jvm = self.spark.sparkContext._jvm
         for frame in frames:

@@ -69,13 +69,29 @@ def test_many_children_go_under_helpers(spark, monkeypatch):
     assert run(spark, CASES["wide"]) == brute(CASES["wide"])
 
 
+@pytest.mark.parametrize("block", [4, 100_000])
+def test_siblings_stand_in_their_order(spark, monkeypatch, block):
+    """Preorder by (page, node), nulls first, also where the children are spread over helpers."""
+    monkeypatch.setattr(hierarchy, "BLOCK", block)
+    page = {"r": 1, **{f"c{i:02d}": (None, 3, 2, 2)[i % 4] for i in range(25)}, **{f"d{i}": 5 for i in range(7)}}
+    links = [("r", None)] + [(f"c{i:02d}", "r") for i in range(25)] + [(f"d{i}", "c03") for i in range(7)]
+    rows = spark.createDataFrame([(n, p, page[n]) for n, p in links], "node string, parent string, page int")
+    got = [r.node for r in sorted(build_forest(rows, "node", "parent", "page").table().collect(), key=lambda r: r.entry)]
+    want = ["r"]
+    for c in sorted((f"c{i:02d}" for i in range(25)), key=lambda c: (page[c] is not None, page[c] or 0, c)):
+        want += [c] + ([f"d{i}" for i in range(7)] if c == "c03" else [])
+    assert got == want
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("abcdefghij"), st.one_of(st.none(), st.sampled_from("abcdefghijk"))), max_size=25))
 def test_random(spark, links):
     assert run(spark, links) == brute(links)
 
 
-def test_pairs_are_all_descendants(spark):
+@pytest.mark.parametrize("top", [1, 14])
+def test_pairs_are_all_descendants(spark, monkeypatch, top):
+    monkeypatch.setattr(hierarchy, "TOP", top)
     links = CASES["wide"] + CASES["cycle with tree below"][3:]
     rows = spark.createDataFrame([(a, b) for a, b in links], "id string, up string")
     forest = build_forest(rows, "id", "up")
