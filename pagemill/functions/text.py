@@ -72,6 +72,16 @@ def join_hyphens(text: Column) -> Column:
     return F.regexp_replace(text, rx(rf"(?<=[{P.LETTER}])-\s*\n\s*(?=[{P.LETTER}])"), "")
 
 
+def join_page_hyphens(text: Column) -> Column:
+    """Words of a whole page broken by a hyphen and any white space, at a line end or where lines were put together, joined."""
+    return F.regexp_replace(text, rx(rf"(?<=[{P.LETTER}])-\s+(?=[{P.LETTER}])"), "")
+
+
+def clean_page(text: Column) -> Column:
+    """A page as it leaves recognition: broken words joined, then controls cleaned."""
+    return clean_controls(join_page_hyphens(text))
+
+
 def collapse_newlines(text: Column) -> Column:
     """At most one empty line in a row; ends cut."""
     return strip(F.regexp_replace(text, "\n{3,}", "\n\n"))
@@ -82,9 +92,9 @@ def drop_table_label(text: Column) -> Column:
 
 
 def clean_controls(text: Column) -> Column:
-    """Replacement characters and control characters but tab and line feed to blanks, blank runs as one, ends cut."""
+    """Replacement characters and control characters but tab and line feed to blanks, runs of two or more blanks and tabs as one blank, ends cut."""
     text = F.regexp_replace(text, "[�\\x00-\\x08\\x0b-\\x1f\\x7f]", " ")
-    return strip(F.regexp_replace(text, "[ \\t]+", " "))
+    return strip(F.regexp_replace(text, "[ \\t]{2,}", " "))
 
 
 def bullets(text: Column) -> Column:
@@ -93,12 +103,7 @@ def bullets(text: Column) -> Column:
 
 
 def unbold(text: Column) -> Column:
-    return F.regexp_replace(text, r"\*\*([^*]+)\*\*", "$1")
-
-
-def mark_title(text: Column) -> Column:
-    """``# text`` unless it is numbered or marked already."""
-    return F.when(starts(text, r"\d+(?:\.\d+)*[.)]?\s|#"), text).otherwise(F.concat(F.lit("# "), text))
+    return F.regexp_replace(text, r"\*\*([^*]*)\*\*", "$1")
 
 
 def tidy_paragraphs(text: Column) -> Column:
@@ -129,16 +134,22 @@ _AS_LATIN = "".join(map(chr, _BYTES))
 _AS_1251 = bytes(_BYTES).decode("cp1251")
 
 
+def decode_bytes(binary: Column) -> Column:
+    """Text of raw bytes: UTF-8 (without its mark) where they are valid, else cp1251, the code page of old Cyrillic files; null and empty stay so."""
+    old = F.translate(F.decode(binary, "ISO-8859-1"), _AS_LATIN, _AS_1251)
+    return F.when(F.is_valid_utf8(binary.cast("string")), F.regexp_replace(F.decode(binary, "UTF-8"), "^\ufeff", "")).otherwise(old)
+
+
 def is_mojibake(token: Column) -> Column:
-    """No Cyrillic, but letters of U+00C0-U+00FF."""
-    return ~has(token, "[а-яА-ЯёЁ]") & has(token, "[À-ÿ]")
+    """No character of the Cyrillic block, but letters of U+00C0-U+00FF."""
+    return ~has(token, "[Ѐ-ӿ]") & has(token, "[À-ÿ]")
 
 
 def repair_token(token: Column) -> Column:
     """Latin-1 read as cp1251 if all of the token allows it and Cyrillic appears; else the token as it is."""
     fixed = F.translate(token, _AS_LATIN, _AS_1251)
     whole = ~token.rlike("[^\\x00-\\xff]") & ~token.contains("\x98")
-    return F.when(is_mojibake(token) & whole & has(fixed, "[а-яА-ЯёЁ]"), fixed).otherwise(token)
+    return F.when(is_mojibake(token) & whole & has(fixed, "[Ѐ-ӿ]"), fixed).otherwise(token)
 
 
 def repair_text(text: Column) -> Column:
@@ -146,6 +157,12 @@ def repair_text(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, " ", -1), repair_token), " ")
 
 
+def repair_words(text: Column) -> Column:
+    """:func:`repair_token` on every token between white space of any kind, which stays as it is."""
+    parts = F.regexp_extract_all(text, F.lit(rx(r"\s+|\S+")), F.lit(0))
+    return F.array_join(F.transform(parts, repair_token), "")
+
+
 def readability(text: Column) -> tuple[Column, Column]:
     """Share of Cyrillic letters among letters, and of odd tokens (four word characters up, no vowel) among tokens.
 
@@ -227,12 +244,6 @@ def is_separator_line(line: Column) -> Column:
     return is_pipe_row(line) & is_separator_cells(row_cells(line))
 
 
-def is_noise_row(left: Column, right: Column) -> Column:
-    """Both cells blank, or the left one at most 12 characters of ``ё``, colon and blanks."""
-    a, b = strip(F.coalesce(left, F.lit(""))), strip(F.coalesce(right, F.lit("")))
-    return ((a == "") & (b == "")) | ((a != "") & (b == "") & (F.length(a) <= 12) & has(a, r"\A[ё:\s]+\z"))
-
-
 def is_upper(text: Column) -> Column:
     """At least one upper-case letter and no lower-case one."""
     return has(text, r"\p{Upper}") & ~has(text, r"[\p{Lower}\p{Lt}]")

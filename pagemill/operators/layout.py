@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import text as X
 from pagemill.operators.ordered import fold_groups
+from pagemill.operators.tables import promote_head
 
 PAGE = ["source_id", "page"]
 # Labels that carry text, thresholds of the detections, and how columns, lines and table cells are told apart.
@@ -22,7 +23,8 @@ TOKEN_CONF = {"tesseract": 40.0, "easyocr": 0.4}
 REJECT_TOKENS, REJECT_SHARE = 15, 0.4
 TWO_COLUMNS = {"boxes": 6, "share": 0.22, "left": 0.42, "right": 0.58}
 ROW_PX, CELL_PX, LINE_PX = 15, 30, (7, 26, 10)
-UNREADABLE = "[Страница не распознана: низкое качество]"
+UNREADABLE = "[ВНИМАНИЕ: СТРАНИЦА НЕЧИТАЕМА ИЗ-ЗА ПЛОХОГО КАЧЕСТВА СКАНА. ПОЖАЛУЙСТА, ОБРАТИТЕСЬ К ОРИГИНАЛУ]"
+NATIVE_WORDS, NATIVE_CHARS, POOR_CYRILLIC, POOR_ODD = 30, 200, 0.35, 0.55
 
 
 def area(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -41,17 +43,15 @@ def _area_of(a: str) -> Column:
 
 
 def box_pairs(boxes: DataFrame) -> DataFrame:
-    """source_id, page, a, b, iou, a_in_b, b_in_a of each two boxes of one page, a before b.
-
-    The pairs of a page are the result asked for; a page has tens of boxes.
-    """
+    """source_id, page, a, b, iou, a_in_b, b_in_a of each two boxes of one page that overlap, a before b."""
     one, two = boxes.alias("a"), boxes.alias("b")
     pairs = one.join(two, (F.col("a.source_id") == F.col("b.source_id")) & (F.col("a.page") == F.col("b.page")) & (F.col("a.box_ord") < F.col("b.box_ord")))
     shared = _overlap("a", "b")
+    pairs = pairs.filter(shared > 0)
     union = F.greatest(F.lit(1), _area_of("a") + _area_of("b") - shared)
     return pairs.select(
         F.col("a.source_id").alias("source_id"), F.col("a.page").alias("page"), F.col("a.box_ord").alias("a"), F.col("b.box_ord").alias("b"),
-        F.when(shared > 0, shared / union).otherwise(0.0).alias("iou"), (shared / _area_of("a")).alias("a_in_b"), (shared / _area_of("b")).alias("b_in_a"),
+        (shared / union).alias("iou"), (shared / _area_of("a")).alias("a_in_b"), (shared / _area_of("b")).alias("b_in_a"),
     )
 
 
@@ -59,7 +59,7 @@ def unique_formulas(boxes: DataFrame) -> DataFrame:
     """Boxes with one detection per formula: the surest is kept, others that coincide with a kept one go. Other labels stay."""
     def keep(group: list[dict]) -> list[tuple]:
         kept: list[dict] = []
-        for b in sorted(group, key=lambda b: (-b["conf"], b["box_ord"])):
+        for b in sorted(group, key=lambda b: (-b["conf"], b["box_ord"], b["x1"], b["y1"], b["x2"], b["y2"])):
             size = max(1, (b["x2"] - b["x1"]) * (b["y2"] - b["y1"]))
             for k in kept:
                 shared = max(0, min(b["x2"], k["x2"]) - max(b["x1"], k["x1"])) * max(0, min(b["y2"], k["y2"]) - max(b["y1"], k["y1"]))
@@ -118,6 +118,26 @@ def unreadable_pages(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy(*PAGE).agg(F.count("*").alias("n"), sure.alias("share")).filter((F.col("n") > REJECT_TOKENS) & (F.col("share") < REJECT_SHARE))
 
 
+def with_unreadable(pages: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Pages (source_id, page, text, ...) with the fixed notice in place of the text where recognition failed (:func:`unreadable_pages`)."""
+    bad = unreadable_pages(tokens).select(*PAGE, F.lit(True).alias("_bad"))
+    return pages.join(bad, PAGE, "left").withColumn("text", F.when(F.col("_bad"), F.lit(UNREADABLE)).otherwise(F.col("text"))).drop("_bad")
+
+
+def native_where_better(pages: DataFrame) -> DataFrame:
+    """Scanned pages whose recognised text reads poorly take their native text if it is long enough and reads no worse.
+
+    ``pages``: text, native_text, native_words (their number), is_scan; adds ``used_native``. Nulls never replace anything.
+    """
+    native = X.repair_words(X.clean_controls(F.col("native_text")))
+    rows = pages.withColumns(dict(zip(("_c", "_w"), X.readability(F.col("text"))))).withColumn("_native", native)
+    rows = rows.withColumns(dict(zip(("_nc", "_nw"), X.readability(F.col("_native")))))
+    poor = F.col("is_scan") & (F.col("native_words") > NATIVE_WORDS) & ((F.col("_c") < POOR_CYRILLIC) | (F.col("_w") > POOR_ODD))
+    better = (F.length("_native") > NATIVE_CHARS) & (F.col("_nc") >= F.col("_c")) & (F.col("_nw") <= F.col("_w"))
+    rows = rows.withColumn("used_native", F.coalesce(poor & better, F.lit(False)))
+    return rows.withColumn("text", F.when(F.col("used_native"), F.col("_native")).otherwise(F.col("text"))).drop("_c", "_w", "_nc", "_nw", "_native")
+
+
 def orientations(tokens: DataFrame) -> DataFrame:
     """source_id, page, angle, score of the angle at which a page reads best: length by confidence, a little less upside down."""
     worth = F.length("text") * F.col("conf") * F.when(F.col("angle").isin(180, 270), 0.95).otherwise(1.0)
@@ -175,48 +195,44 @@ def box_texts(words: DataFrame) -> DataFrame:
     return ordered.unionByName(lines)
 
 
-def table_from_words(words: list[tuple[float, float, str, float, float]]) -> str:
-    """Markdown of a table's words (cx, cy, text, x_min, x_max): rows by height, cells by gaps; plain lines where cells are few."""
-    rows: list[list] = []
-    for w in sorted(words, key=lambda w: w[1]):
-        if rows and abs(w[1] - rows[-1][0][1]) <= ROW_PX:
-            rows[-1].append(w)
-        else:
-            rows.append([w])
-    cells: list[list[str]] = []
-    for row in rows:
-        cells.append([])
-        edge = None
-        for _, _, text, x_min, x_max in sorted(row, key=lambda w: w[0]):
-            text = text.replace("\n", " ").replace("|", "\\|")
-            if edge is None or x_min - edge > CELL_PX:
-                cells[-1].append(text)
-            else:
-                cells[-1][-1] += f" {text}"
-            edge = x_max
-    most = max(map(len, cells), default=0)
-    lines = ["| " + " | ".join(c + [""] * (most - len(c))) + " |" for c in cells]
-    filled = sum(1 for row in cells for c in row if len(c.strip()) > 1)
-    if most > 4 and filled < 2 * len(cells):
-        return "\n".join(" ".join(" | ".join(c).split()) for c in cells)
-    return "\n".join([" ".join(line.split()) for line in lines[:1]] + ["|" + "---|" * most] * bool(lines) + [" ".join(line.split()) for line in lines[1:]])
-
-
 def word_tables(words: DataFrame) -> DataFrame:
-    """source_id, page, box_ord, text: :func:`table_from_words` of each box."""
-    def fold(group: list[dict]) -> list[tuple]:
-        text = table_from_words([(w["cx"], w["cy"], w["text"], w["x_min"], w["x_max"]) for w in group])
-        return [(*(group[0][k] for k in (*PAGE, "box_ord")), f"[Таблица]\n{text}")]
+    """source_id, page, box_ord, text: a markdown table of each box's words, as far as their places tell.
 
-    rows = words.filter("box_ord is not null").select(*PAGE, "box_ord", "cx", "cy", "text", "x_min", "x_max")
-    return fold_groups(rows, [*PAGE, "box_ord"], ["cy", "cx", "text"], fold, "source_id string, page int, box_ord int, text string")
+    A row takes words whose height is near that of its first one; a gap between words makes a cell. Rows are padded to the most pipes of any,
+    pipes of the words included, and placeholder heads promoted; a wide table with few words of two letters or digits is given as plain lines.
+    """
+    def rows_of(group: list[dict]) -> list[tuple]:
+        out, first, row = [], None, -1
+        for w in group:
+            if first is None or abs(w["cy"] - first) > ROW_PX:
+                first, row = w["cy"], row + 1
+            out.append((w["source_id"], w["page"], w["box_ord"], row, w["cx"], w["text"], w["x_min"], w["x_max"]))
+        return out
+
+    box = [*PAGE, "box_ord"]
+    rows = words.filter("box_ord is not null").select(*box, "cx", "cy", "text", "x_min", "x_max")
+    rows = fold_groups(rows, box, ["cy", "cx", "text"], rows_of, "source_id string, page int, box_ord int, line int, cx double, text string, x_min double, x_max double")
+    line = Window.partitionBy(*box, "line").orderBy("cx", "text")
+    text = F.replace(F.replace(X.repair_token(F.col("text")), F.lit("\n"), F.lit(" ")), F.lit("|"), F.lit("\\|"))
+    edge = F.lag("x_max").over(line)
+    glue = F.when(edge.isNull(), "").when(F.col("x_min") - edge > CELL_PX, " | ").otherwise(" ")
+    rows = rows.withColumn("piece", F.struct(F.row_number().over(line).alias("i"), F.concat(glue, text).alias("t")))
+    lines = rows.groupBy(*box, "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list("piece")), lambda x: x["t"]), "").alias("t"))
+    tables_ = lines.groupBy(*box).agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "t"))), lambda x: x["t"]).alias("lines"))
+    pipes = lambda t: F.length(t) - F.length(F.replace(t, F.lit("|")))
+    tables_ = tables_.withColumn("most", F.array_max(F.transform("lines", pipes)))
+    padded = F.transform("lines", lambda t: X.squeeze(F.concat(F.lit("| "), t, F.lit(" "), F.repeat(F.lit("| "), F.col("most") - pipes(t)), F.lit("|"))))
+    rule = F.concat(F.lit("|"), F.rtrim(F.repeat(F.lit("---| "), F.col("most") + 1)))
+    made = F.array_join(F.concat(F.slice(padded, 1, 1), F.array(rule), F.slice(padded, F.lit(2), F.greatest(F.size(padded) - 1, F.lit(0)))), "\n")
+    few = (F.col("most") >= 4) & (F.regexp_count(made, F.lit("[А-Яа-яЁёA-Za-z0-9]{2,}")) < 2 * F.size("lines"))
+    plain = F.array_join(F.filter(F.transform("lines", X.squeeze), lambda t: t != ""), "\n")
+    return tables_.select(*box, F.concat(F.lit("[Таблица]\n"), F.when(few, plain).otherwise(promote_head(made))).alias("text"))
 
 
 def page_texts(blocks: DataFrame) -> DataFrame:
     """source_id, page, text of block texts (position, label, text) in order: page numbers and tables of contents out, formula numbers
     to their formula, titles marked."""
-    t = X.clean_controls(X.bullets(F.col("text")))
-    rows = blocks.withColumn("text", X.join_hyphens(t)).filter(~F.col("text").rlike(r"^(?:#\s*)?\d{1,3}$") & ~F.col("text").rlike(r"\.{5,}") & (F.col("text") != ""))
+    rows = blocks.withColumn("text", X.clean_controls(X.bullets(F.col("text")))).filter(~F.col("text").rlike(r"^(?:#\s*)?\d{1,3}$") & ~F.col("text").rlike(r"\.{5,}") & (F.col("text") != ""))
     page = Window.partitionBy(*PAGE).orderBy("position")
     number = F.col("text").rlike(r"^\(\s*\d+\s*\)$")
     rows = rows.withColumn("number", number).withColumn("formula", X.is_formula(F.col("text")))
@@ -225,7 +241,8 @@ def page_texts(blocks: DataFrame) -> DataFrame:
     rows = rows.withColumn("base", base).withColumn("to", F.when(F.col("number") & F.coalesce(F.col("base.formula"), F.lit(False)), F.col("base.position")).otherwise(F.col("position")))
     title = F.when((F.col("label") == "title") & (F.col("to") == F.col("position")) & ~F.col("text").rlike(r"^\d+[.)]\s"), F.concat(F.lit("# "), "text")).otherwise(F.col("text"))
     joined = rows.withColumn("text", title).groupBy(*PAGE, "to").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "text"))), lambda x: x["text"]), " ").alias("text"))
-    return joined.groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("to", "text"))), lambda x: x["text"]), "\n\n").alias("text"))
+    whole = joined.groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("to", "text"))), lambda x: x["text"]), "\n\n").alias("text"))
+    return whole.withColumn("text", X.clean_page(F.col("text")))
 
 
 def item_pages(items: DataFrame) -> DataFrame:
@@ -235,11 +252,9 @@ def item_pages(items: DataFrame) -> DataFrame:
     return kept.groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_ord", "text"))), lambda x: x["text"]), "\n\n").alias("text"))
 
 
-def upscale(min_edge: Column, target: int = 512, most: float = 4.0) -> Column:
-    """Scale of a formula's picture; 1 where nothing is gained."""
-    s = F.least(F.lit(most), F.greatest(F.lit(1.0), F.lit(float(target)) / F.greatest(min_edge, F.lit(1))))
-    return F.when(s <= 1.001, 1.0).otherwise(s)
-
-
-def to_pixels(points: Column, dpi: int = 300) -> Column:
-    return points * F.lit(dpi / 72.0)
+def scaled_formulas(boxes: DataFrame, dpi: int = 300, target: int = 512, most: float = 4.0) -> DataFrame:
+    """source_id, page, box_ord, x1 to y2 in pixels and ``scale`` (1 where nothing is gained) of each formula box in points."""
+    pixels = {c: F.col(c) * F.lit(dpi / 72.0) for c in ("x1", "y1", "x2", "y2")}
+    edge = F.least(pixels["x2"] - pixels["x1"], pixels["y2"] - pixels["y1"])
+    scale = F.least(F.lit(most), F.greatest(F.lit(1.0), F.lit(float(target)) / F.greatest(edge, F.lit(1.0))))
+    return boxes.filter(F.col("label") == FORMULA).select(*PAGE, "box_ord", *(v.alias(c) for c, v in pixels.items()), F.when(scale <= 1.001, 1.0).otherwise(scale).alias("scale"))

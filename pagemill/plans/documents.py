@@ -39,6 +39,36 @@ def route_decision(spark, sf_dir):
     return rows.select("source_id", ext.alias("extension"), registry.route(ext).alias("route"), registry.service_route(ext).alias("service_route"), registry.service_route(ext, False).alias("service_route_bare"))
 
 
+def document_profiles(spark, sf_dir):
+    out = registry.document_profiles(_table(spark, sf_dir, "registry"), _table(spark, sf_dir, "pages"))
+    return out.drop("size_mb").withColumn("text_ratio", F.round("text_ratio", 6))
+
+
+def parser_modes(spark, sf_dir):
+    """The mode of each registry row if scans are asked for the layout parser and spreadsheets leave it open."""
+    rows = registry.valid_rows(_table(spark, sf_dir, "registry"))
+    ext = registry.extension(F.col("file_path"))
+    asked = F.when(ext == "pdf", " YOLO").when(ext.isin("xls", "xlsx"), "  ").when(ext == "docx", "Docling\n")
+    return rows.select("source_id", registry.parser_mode(asked, "Auto").alias("mode"))
+
+
+def selected_sources(spark, sf_dir):
+    return registry.selected(_table(spark, sf_dir, "registry"), key="source_id").groupBy("source_id").agg(F.count("*").alias("n"))
+
+
+def run_counters(spark, sf_dir):
+    return registry.run_counters(_table(spark, sf_dir, "registry"), _table(spark, sf_dir, "manifests"))
+
+
+def converter_failures(spark, sf_dir):
+    return registry.converter_failures(_table(spark, sf_dir, "manifests")).select("source_id", "finished_at", "page_count", "reason")
+
+
+def envelopes(spark, sf_dir):
+    out = registry.envelopes(_table(spark, sf_dir, "structural_chunks"), _table(spark, sf_dir, "registry"))
+    return out.select("source_id", "filename", "route", F.size("chunks").alias("n_chunks"), F.md5(F.array_join(F.transform("chunks", lambda c: F.concat_ws("|", c["chunk_id"], c["block_type"], c["section_title"], c["text"])), "\n")).alias("body"))
+
+
 def resume_pending(spark, sf_dir):
     return registry.pending(_table(spark, sf_dir, "registry"), _table(spark, sf_dir, "manifests"))
 
@@ -116,10 +146,18 @@ def readability(spark, sf_dir):
 
 def cleaned_pages(spark, sf_dir):
     """Control characters, bullets, broken words and simple mojibake of every page's text repaired."""
-    t = X.join_hyphens(X.clean_controls(X.bullets(F.col("text"))))
+    t = X.clean_page(X.bullets(F.col("text")))
     return _table(spark, sf_dir, "pages").select("page_id", X.repair_text(t).alias("text"))
 
 
+def native_pages(spark, sf_dir):
+    """Pages whose recognised text lost its vowels on every second page, with the page's text as the native one."""
+    pages = _table(spark, sf_dir, "pages")
+    read = F.when(F.col("page_id") % 2 == 0, F.regexp_replace("text", "[аеёиоуыэюя]", "")).otherwise(F.col("text"))
+    rows = pages.select("page_id", read.alias("text"), F.col("text").alias("native_text"), F.size(F.split("text", " ")).alias("native_words"), (F.col("parser") == "yolo_doctr").alias("is_scan"))
+    return layout.native_where_better(rows).select("page_id", "text", "used_native")
+
+
 def mojibake_tokens(spark, sf_dir):
     """token, repaired, n of all page tokens that look like Cyrillic read as Latin-1."""
     tokens = _table(spark, sf_dir, "pages").select(F.explode(F.split("text", "[ \\n\\t]+")).alias("token")).filter(X.is_mojibake(F.col("token")))
@@ -198,7 +236,7 @@ def _words(spark, sf_dir) -> DataFrame:
 
 def _tokens(spark, sf_dir) -> DataFrame:
     i = _table(spark, sf_dir, "lineitem")
-    return i.select(F.lit("L").alias("source_id"), (F.col("l_suppkey") % 500).cast("int").alias("page"), (F.col("l_linenumber") % 4 * 90).cast("int").alias("angle"), F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("text"), (F.col("l_quantity") / 50).alias("conf"))
+    return i.select(F.lit("L").alias("source_id"), (F.col("l_suppkey") % 500).cast("int").alias("page"), (F.col("l_linenumber") % 4 * 90).cast("int").alias("angle"), F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("text"), (F.col("l_quantity") / F.when(F.col("l_suppkey") % 3 == 0, 100).otherwise(50)).alias("conf"))
 
 
 def word_boxes(spark, sf_dir):
@@ -250,6 +288,18 @@ def unreadable_pages(spark, sf_dir):
     return layout.unreadable_pages(_tokens(spark, sf_dir)).select("page", "n", F.round("share", 6).alias("share"))
 
 
+def readable_pages(spark, sf_dir):
+    """Pages of recognised tokens, unreadable ones with the notice."""
+    tokens = _tokens(spark, sf_dir)
+    pages = tokens.groupBy("source_id", "page").agg(F.concat(F.min("text"), F.lit(" "), F.max("text")).alias("text"))
+    return layout.with_unreadable(pages, tokens).select("page", "text")
+
+
+def formula_scales(spark, sf_dir):
+    out = layout.scaled_formulas(_boxes(spark, sf_dir))
+    return out.select("page", "box_ord", *(F.round(c, 4).alias(c) for c in ("x1", "y1", "x2", "y2", "scale")))
+
+
 def skews(spark, sf_dir):
     contours = _table(spark, sf_dir, "lineitem").select(F.lit("L").alias("source_id"), (F.col("l_suppkey") % 500).cast("int").alias("page"), (F.col("l_quantity") % 40 - 18).alias("angle"))
     return layout.skews(contours).select("page", "skew")
@@ -262,7 +312,7 @@ def item_pages(spark, sf_dir):
 
 
 _NAMES = (
-    "registry_valid format_policy policy_counts route_decision resume_pending source_profiles latest_manifests patched_manifests document_list clean_up response_sizes "
+    "registry_valid format_policy policy_counts route_decision document_profiles parser_modes selected_sources run_counters converter_failures envelopes native_pages readable_pages formula_scales resume_pending source_profiles latest_manifests patched_manifests document_list clean_up response_sizes "
     "normalize_text line_keys predicates headers classified entity_list readability cleaned_pages mojibake_tokens section_links stripped_pages block_list long_pieces "
     "built_chunks enriched_chunks table_matrices sheet_pages word_boxes free_words box_pairs unique_formulas reading_order line_gaps box_texts word_tables page_texts "
     "orientations unreadable_pages skews item_pages"

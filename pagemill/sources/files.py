@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill import schemas
-from pagemill.functions.text import collapse_newlines, strip
+from pagemill.functions.text import collapse_newlines, decode_bytes, strip
 
 _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -31,6 +31,17 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return good.select("source_id", F.expr("try_cast(page as int)").alias("page"), F.coalesce("text", F.lit("")).alias("text"), "parser")
 
 
+def read_registry(spark: SparkSession, path: str, sheet: str = "source_registry") -> DataFrame:
+    """The source registry (source_id, file_path, format) from Parquet, CSV or a sheet of a workbook; other columns are left out, missing ones are null."""
+    if path.lower().endswith(".xlsx"):
+        cells = read_sheets(spark, path).filter(F.col("sheet") == sheet)
+        names = cells.filter("row_idx = 0").select("source_id", F.col("cells").alias("names"))
+        rows = cells.filter("row_idx > 0").join(F.broadcast(names), "source_id").select(F.map_from_arrays("names", "cells").alias("m"), "row_idx")
+        return rows.select(*(F.try_element_at("m", F.lit(c)).alias(c) for c in ("source_id", "file_path", "format")))
+    raw = spark.read.option("header", True).csv(path) if path.lower().endswith(".csv") else spark.read.parquet(path)
+    return raw.select(*((F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string")).alias(c) for c in ("source_id", "file_path", "format")))
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Chunks from JSON lines; any broken line fails the read."""
     return spark.read.schema(schemas.CHUNKS).option("mode", "FAILFAST").json(path)
@@ -44,10 +55,10 @@ def _source_id(column: str = "path"):
     return F.regexp_extract(column, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files as one page each; invalid bytes become U+FFFD, runs of empty lines one."""
+def read_texts(spark: SparkSession, path: str, detect: bool = False) -> DataFrame:
+    """Whole text files as one page each; invalid bytes become U+FFFD (with ``detect``, files that are not UTF-8 are read as old Cyrillic ones), runs of empty lines one."""
     files = spark.read.format("binaryFile").load(path)
-    text = collapse_newlines(F.make_valid_utf8(F.col("content")))
+    text = collapse_newlines(decode_bytes(F.col("content")) if detect else F.make_valid_utf8(F.col("content")))
     return files.select(_source_id().alias("source_id"), F.lit(1).alias("page"), text.alias("text"), F.lit("api_native_txt").alias("parser"))
 
 

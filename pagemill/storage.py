@@ -81,3 +81,8 @@ class Scratch:
             if path:
                 target = jvm.org.apache.hadoop.fs.Path(path)
                 target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    def drop_all(self) -> None:
+        """Frees all tables of the run, once its result is consumed."""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.base)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -163,8 +163,12 @@ def test_lines_and_tables(spark):
     assert [r.text for r in L.box_lines(w).orderBy("line").collect()] == ["a b", "c d", "e"] and L.box_texts(w).first().text == "a b c d e"
     native = spark.createDataFrame([("s", 1, i, 1.0, 1.0, t, 0.0, 1.0, 0, 0, 9 - i, 0) for i, t in enumerate(["в", "б", "Ïðè"])], WORD)
     assert L.box_texts(native).first().text == "При б в"
-    assert L.table_from_words([(0, 0, "x", 0, 10), (100, 2, "y", 90, 110), (0, 50, "1", 0, 10)]) == "| x | y |\n|---|---|\n| 1 | |"
-    assert L.table_from_words([]) == ""
+    table = lambda *rows: [r.text for r in L.word_tables(spark.createDataFrame([("s", 1, i, float(x), float(y), t, x - 5.0, x + 5.0, -1, -1, -1, 0) for i, (x, y, t) in enumerate(rows)], WORD)).collect()]
+    assert table((10, 10, "Ïðèâåò"), (100, 12, "a|b"), (10, 40, "слово")) == ["[Таблица]\n| Привет | a\\|b |\n|---| ---| ---|\n| слово | | |"]
+    assert table((10, 10, "Col1"), (100, 12, "Col2"), (10, 40, "Имя"), (100, 41, "Вес"), (10, 70, "аб"), (100, 71, "12")) == ["[Таблица]\n|Имя|Вес|\n|---|---|\n|аб|12|"]
+    sparse = [(100 * i, 10 + 40 * k, "x") for k in range(2) for i in range(5)]
+    assert table(*sparse) == ["[Таблица]\n" + "\n".join(["x | x | x | x | x"] * 2)] and table() == []
+    assert table(*[(x, y, "xy") for x, y, _ in sparse])[0].startswith("[Таблица]\n| xy | xy")
 
 
 def test_reading_order(spark):
@@ -177,6 +181,39 @@ def test_tokens(spark):
     t = spark.createDataFrame([("s", 1, a, "слово", c) for a in (0, 180) for c in (0.9, 0.5)] + [("s", 2, 0, "x", 0.1)] * 16, "source_id string, page int, angle int, text string, conf double")
     assert [(r.page, r.angle) for r in L.orientations(t).collect()] == [(1, 0)] and [r.page for r in L.unreadable_pages(t).collect()] == [2]
     assert L.kept_tokens(t, "easyocr").count() == 4
+    pages = spark.createDataFrame([("s", 1, "да"), ("s", 2, "нет"), ("s", 3, None)], "source_id string, page int, text string")
+    assert {r.page: r.text for r in L.with_unreadable(pages, t).collect()} == {1: "да", 2: L.UNREADABLE, 3: None}
+
+
+def test_native_text(spark):
+    good, poor = "Слово за словом читается хорошо. " * 8, "Слвз слвм чттс хршш. " * 8
+    rows = [(1, poor, good, 40, True), (2, poor, good, 30, True), (3, poor, good, 40, False), (4, good, good, 40, True), (5, poor, "Коротко", 40, True), (6, poor, poor, 40, True), (7, poor, None, 40, True), (8, None, good, 40, True)]
+    out = {r.i: (r.text, r.used_native) for r in L.native_where_better(spark.createDataFrame(rows, "i int, text string, native_text string, native_words int, is_scan boolean")).collect()}
+    assert [out[i][1] for i in range(1, 9)] == [True, False, False, False, False, False, False, True]
+    assert out[1][0] == good.strip() and out[5][0] == poor
+
+
+def test_registry_of_runs(spark):
+    reg = spark.createDataFrame([("a", "x/a.pdf", None), ("b", "b.png", ""), ("c", "c.docx", "DOCX"), ("_t", "t.txt", "txt"), (None, "n.txt", None)], "source_id string, file_path string, format string")
+    pages = spark.createDataFrame([("a", 1, "т" * 60), ("c", 1, "т")], "source_id string, page int, text string")
+    files = spark.createDataFrame([("x/a.pdf", 1 << 20)], "path string, length long")
+    got = {r.source_id: r for r in registry.document_profiles(reg, pages, files).collect()}
+    assert [(got[k].is_image, got[k].is_pdf, got[k].is_office, got[k].page_count, got[k].has_text_layer, got[k].size_mb) for k in "abc"] == [(False, True, False, 1, True, 1.0), (True, False, False, 1, False, None), (False, False, True, 1, True, None)]
+    assert sorted(r.source_id for r in registry.selected(reg).collect()) == ["a", "b", "c"] and registry.selected(reg, ["a", "_t"]).count() == 1
+    modes = spark.createDataFrame([(None,), (" YOLO ",), ("",)], "m string")
+    assert [r.v for r in modes.select(registry.parser_mode(F.col("m"), "docling").alias("v")).collect()] == ["docling", "yolo", "docling"]
+    with pytest.raises(Exception, match="unknown parser mode"):
+        spark.range(1).select(registry.parser_mode(F.lit("other"))).collect()
+    runs = spark.createDataFrame([("a", 3, 0, 10), ("b", 3, 1, 10), ("c", 3, 0, None), ("d", None, None, 5)], "source_id string, page_count int, exit_code int, output_bytes long")
+    assert {r.source_id: r.reason for r in registry.converter_failures(runs).collect()} == {"b": "exit_code", "c": "no_output", "d": "no_pages"}
+    states = spark.createDataFrame([("a", "error"), ("a", "ok"), ("b", "error")], "source_id string, status string")
+    assert tuple(registry.run_counters(reg, states).first()) == (4, 1, 1, 2)
+    assert {r.source_id: (r.ingest_as_in_registry, r.alternatives) for r in registry.format_policy(reg).collect()}["b"] == (False, [])
+    chunks = spark.createDataFrame([("a:p1:b10", "a", 1, "list", "t", "два"), ("a:p1:b2", "a", 1, "list", "t", "раз"), ("a:p1:b2", "a", 1, "list", "t", "раз")], "chunk_id string, doc_id string, page int, block_type string, section_title string, text string")
+    one = registry.envelope(chunks, reg, "a").first()
+    assert (one.filename, one.route, [c.text for c in one.chunks]) == ("a.pdf", "heavy", ["раз", "два"])
+    with pytest.raises(Exception, match="no such document"):
+        registry.envelope(chunks, reg, "zz").collect()
 
 
 def test_page_texts(spark):

@@ -4,6 +4,8 @@ import zipfile
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from pagemill.operators.tables import sheet_pages
 from pagemill.sources import files, sinks
 from pagemill.streaming import ingest
@@ -66,7 +68,32 @@ def test_documents_are_replaced(spark, tmp_path):
     schema = "doc_id string, page int, text string"
     sinks.write_documents(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], schema), str(tmp_path / "out"))
     sinks.write_documents(spark.createDataFrame([("b", 2, "z")], schema), str(tmp_path / "out"))
-    assert sorted((r.doc_id, r.page) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", 1), ("b", 2)]
+    assert sorted((r.doc_id, r.page) for r in sinks.read_documents(spark, str(tmp_path / "out")).collect()) == [("a", 1), ("b", 2)]
+    sinks.write_documents(spark.createDataFrame([("a", p, "x") for p in (3, 1, 2)] + [(None, 1, "n")], schema), str(tmp_path / "out"), buckets=256)
+    assert sorted((r.doc_id, r.page) for r in sinks.read_documents(spark, str(tmp_path / "out")).collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 2)]
+    assert len(list((tmp_path / "out").glob("bucket=*"))) == 2
+
+
+def test_documents_of_one_bucket_stay(spark, tmp_path):
+    schema = "doc_id string, page int, text string"
+    for rows in ([(f"d{i}", 1, "x") for i in range(20)], [("d3", 2, "y"), ("e", 1, "z")]):
+        sinks.write_documents(spark.createDataFrame(rows, schema), str(tmp_path / "out"), buckets=2)
+    assert sorted((r.doc_id, r.page) for r in sinks.read_documents(spark, str(tmp_path / "out")).collect()) == sorted([(f"d{i}", 2 if i == 3 else 1) for i in range(20)] + [("e", 1)])
+
+
+def test_sanitized_at_any_depth(spark):
+    bad = F.expr("cast(X'61ff62' as string)")
+    row = spark.range(1).select(bad.alias("a"), F.array(bad).alias("b"), F.struct(bad.alias("x"), F.array(F.struct(bad.alias("y"))).alias("z")).alias("c"), F.create_map(bad, bad).alias("d"), F.lit(None).cast("struct<x:string>").alias("e"), F.col("id"))
+    got = sinks.sanitized(row).first()
+    assert got.a == "a�b" and got.b == ["a�b"] and got.c.x == "a�b" and got.c.z[0].y == "a�b" and got.d == {"a�b": "a�b"} and got.e is None and got.id == 0
+
+
+def test_registry_and_old_text_files(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("source_id,file_path,other\na,a.txt,1\n")
+    assert [tuple(r) for r in files.read_registry(spark, str(tmp_path / "r.csv")).collect()] == [("a", "a.txt", None)]
+    (tmp_path / "old.txt").write_bytes("Привет".encode("cp1251"))
+    (tmp_path / "new.txt").write_bytes("\ufeffПривет".encode())
+    assert {r.source_id: r.text for r in files.read_texts(spark, str(tmp_path / "*.txt"), detect=True).collect()} == {"old": "Привет", "new": "Привет"}
 
 
 def test_manifests(spark):

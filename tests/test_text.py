@@ -42,7 +42,10 @@ def test_classify(spark):
 
 def test_repair_and_clean(spark):
     assert apply(spark, X.repair_token, "Ïðèâåò", "Ï\x98ðè", "café", None) == ["Привет", "Ï\x98ðè", "café", None] or apply(spark, X.repair_token, "Ïðèâåò", "Ï\x98ðè") == ["Привет", "Ï\x98ðè"]
-    assert apply(spark, X.clean_controls, " a\x01\x02 b�c\td ") == ["a b c d"]
+    assert apply(spark, X.clean_controls, " a\x01\x02 b�c\td \t\te ") == ["a b c\td e"]
+    assert apply(spark, X.clean_page, "Темпе- ратура и дав-\n\n ление 3-го  дня", "a -  b") == ["Температура и давление 3-го дня", "a - b"]
+    assert apply(spark, X.unbold, "**** **a** *b*") == [" a *b*"]
+    assert apply(spark, X.repair_words, "Ïðè\n âåò  ok") == ["При\n вет  ok"]
     assert apply(spark, X.cell_text, "a|b\r\nc ", None) == ["a\\|b c", ""]
 
 
