@@ -24,8 +24,8 @@ from pagemill.storage import Scratch
 SHARE = 0.75
 #: Documents with fewer words separated by white space get no band.
 MIN_WORDS = 25
-#: Words up to which the rank table is broadcast to the executors; beyond, ranks are joined by a shuffle.
-BROADCAST_WORDS = 1_000_000
+#: Words up to which the rank table is broadcast to the executors, and different counts up to which their ranks are; beyond, both are joined by a shuffle.
+BROADCAST_WORDS, BROADCAST_COUNTS = 250_000, 250_000
 #: Weight, in labelled documents, of the mean of both languages in the mean of one.
 SHRINK = 2.0
 FEATURES = ("f_rank", "f_sentence", "f_clause", "f_word")
@@ -50,13 +50,14 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def word_ranks(docs: DataFrame, text: str = "text") -> DataFrame:
     """word, n, rank: how many words of the same script are more frequent, plus one. Ties share a rank.
 
-    Ranks come from the histogram of counts, which is small, so no sort over all words is needed.
+    Ranks come from the histogram of counts, so no sort over all words is needed: of T words in all there are at most sqrt(2 T) different counts.
     """
+    work = Scratch(docs.sparkSession, "ranks")
     words = docs.select(text).mapInArrow(_count_batches, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    words = words.withColumn("cyrillic", F.col("word").rlike("^[\\x{400}-\\x{52f}]"))
+    words = work.cut(words.withColumn("cyrillic", F.col("word").rlike("^[\\x{400}-\\x{52f}]")), "words")
     hist = words.groupBy("cyrillic", "n").agg(F.count("*").alias("same"))
-    above = hist.select("cyrillic", "n", F.expr("1 + sum(same) over (partition by cyrillic order by n desc) - same").alias("rank"))
-    return words.join(F.broadcast(above), ["cyrillic", "n"]).select("word", "n", "rank")
+    above = work.cut(hist.select("cyrillic", "n", F.expr("1 + sum(same) over (partition by cyrillic order by n desc) - same").alias("rank")), "above")
+    return words.join(F.broadcast(above) if above.count() <= BROADCAST_COUNTS else above, ["cyrillic", "n"]).select("word", "n", "rank")
 
 
 def _weighted_median(values: np.ndarray, weights: np.ndarray) -> float:

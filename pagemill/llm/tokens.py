@@ -143,13 +143,13 @@ _encoders: dict[str, object] = {}
 
 
 def merger(vocabulary: str):
-    """Exact byte-pair merging of one word by the ranks of the vocabulary file; kept for the life of the process."""
+    """Exact byte-pair merging of one word, whatever is in it, by the ranks of the vocabulary file; kept for the life of the process."""
     if vocabulary not in _encoders:
         import tiktoken
 
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _encoders[vocabulary] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        _encoders[vocabulary] = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     return _encoders[vocabulary]
 
 
@@ -181,10 +181,12 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORD
 def publish(spark: SparkSession, words: list[str], vocabulary: str) -> str:
     """Compiles the words, writes the transducer to the shared folder and has it sent to executors; returns its file name."""
     merge = merger(vocabulary)
-    lexicon = Lexicon.build({w.encode(): list(merge(w.encode())) for w in words})
+    lexicon = Lexicon.build({w.encode(): list(merge(w)) for w in words})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
-    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.deleteOnExit(target)
+    out = files.create(target, True)
     out.write(bytearray(lexicon.to_bytes()))
     out.close()
     spark.sparkContext.addFile(target.toString())
@@ -198,10 +200,11 @@ def _encode(name: str, vocabulary: str):
         for batch in batches:
             number = _Numbering()
             parts = [np.fromiter(map(number.__getitem__, find(text)), np.int64) if text else np.zeros(0, np.int64) for text in batch.column(1).to_pylist()]
-            words = [w.encode() for w in number]
+            texts = list(number)
+            words = [w.encode() for w in texts]
             place = lexicon.find(words)
             unseen = np.flatnonzero(place < 0)
-            merged = [np.array(merge(words[i]), np.int32) for i in unseen]
+            merged = [np.array(merge(texts[i]), np.int32) for i in unseen]
             sizes = np.zeros(len(words), np.int64)
             known = place >= 0
             sizes[known] = lexicon.start[place[known] + 1] - lexicon.start[place[known]]
