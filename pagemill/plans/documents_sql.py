@@ -114,7 +114,44 @@ def _inner(pattern: str) -> str:
     return rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}_]$', '')" if pattern.endswith(r"_])") else out
 
 
+def _stripped(rounds: int = 5, fraction: float = 0.5) -> str:
+    """Running lines, one CTE per round; s0 holds each page's full lines and what is off its head (h) and foot (f)."""
+    out = rf"""with p as (select page_id, coalesce(source_id, '') as s, page, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '{_ENDS}'), lambda x: regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g')), lambda x: x <> '') as l from pages),
+need as (select s, greatest(1, ceil(count(*) * {fraction} - 1e-12)) as need from p group by 1 having count(*) >= 3),
+s0 as (select *, 0 as h, 0 as f, true as live from p)"""
+    for i in range(1, 2 * rounds + 1):
+        head = i <= rounds
+        line = "l[h + 1]" if head else "l[len(l) - f]"
+        live = "true" if i == rounds + 1 else "live"
+        out += rf""",
+k{i} as (select * exclude (live), case when {live} and len(l) > h + f and length({line}) between 5 and 240 then lower(regexp_replace({line}, '{_WS}+', ' ', 'g')) end as key from s{i - 1}),
+b{i} as (select s, key as best from (select s, key, count(*) as n, min(page) as seen from k{i} where key is not null group by 1, 2) join need using (s)
+  qualify row_number() over (partition by s order by n desc, seen) = 1 and n >= need),
+s{i} as (select k.page_id, k.s, k.page, k.l, k.h + {"(k.key is not null and k.key = b.best)::int" if head else "0"} as h, k.f + {"0" if head else "(k.key is not null and k.key = b.best)::int"} as f, b.best is not null as live from k{i} k left join b{i} b on b.s = k.s)"""
+    return out.replace("(k.key is not null and k.key = b.best)::int", "case when k.key = b.best then 1 else 0 end") + rf""",
+t as (select x.page_id, x.source_id, x.page, x.text, e.h, e.f, regexp_split_to_array(coalesce(x.text, ''), '{_ENDS}') as raw from pages x join s{2 * rounds} e on e.page_id = x.page_id),
+u as (select *, case when raw[-1] = '' then raw[:-2] else raw end as lines from t),
+v as (select *, list_filter(range(1, len(lines) + 1), lambda i: regexp_replace(lines[i], '^{_WS}+|{_WS}+$', '', 'g') <> '') as full_at from u),
+r as (select *, regexp_replace(array_to_string(lines[case when h > 0 then full_at[h] + 1 else 1 end:case when f > 0 then full_at[len(full_at) - f + 1] - 1 else len(lines) end], chr(10)), '^{_WS}+|{_WS}+$', '', 'g') as rest from v)
+select page_id, source_id, page, case when h + f = 0 or rest = '' then text else rest end as text, h as n_head, f as n_foot from r"""
+
+
+_ENDS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+_CELL = "regexp_matches({}, '^:?-{{3,}}:?$')"
+
 SQL = {
+    "stripped_pages": _stripped(),
+    "table_matrices": _C
+    + rf""", t as (select chunk_id, regexp_replace({st("text")}, '(?i)^\s*\[таблица\]\s*\n?', '') as t from c where block_type = 'table'), l as (select *, {ls("t")} as l from t),
+ m as (select chunk_id, t, list_transform(l, lambda s: list_transform(string_split(substr(s, 2, length(s) - 2), '|'), lambda x: {st("x")})) as m from l
+  where len(l) >= 3 and len(list_filter(l, lambda s: not (starts_with(s, '|') and ends_with(s, '|') and length(s) > 1))) = 0),
+ n as (select *, len(m[2]) >= 2 and len(list_filter(m[2], lambda x: not {_CELL.format("x")})) = 0 as has_rule, list_filter(range(1, len(m[1]) + 1), lambda i: regexp_matches(m[1][i], '(?i)^col\d+$')) as pl from m),
+ g as (select *, list_transform(pl, lambda i: case when m[3][i] <> '' then m[3][i] else m[1][i] end) as put from n)
+ select chunk_id, cast(len(m) as integer) as n_rows, cast(list_max(list_transform(m, lambda r: len(r))) as integer) as n_columns,
+ array_to_string(list_transform(m, lambda r: '|' || array_to_string(r, '|') || '|'), chr(10)) as rebuilt, has_rule,
+ case when has_rule and len(m[3]) = len(m[1]) and len(put) > 0 and not (len(put) >= 2 and len(list_distinct(put)) = 1)
+  then array_to_string(list_concat(['|' || array_to_string(list_transform(range(1, len(m[1]) + 1), lambda i: case when list_contains(pl, i) and m[3][i] <> '' then m[3][i] else m[1][i] end), '|') || '|', '|' || array_to_string(m[2], '|') || '|'],
+   list_transform(m[4:], lambda r: '|' || array_to_string(r, '|') || '|')), chr(10)) else t end as promoted from g""",
     "document_profiles": rf"""with one as (select source_id, page, max(length(regexp_replace(coalesce(text, ''), '^{_WS}+|{_WS}+$', '', 'g'))) as chars from pages where source_id is not null group by 1, 2),
  p as (select source_id, count(page) as n, coalesce(avg(case when page <= 5 then chars end), 0.0) as r from one group by 1),
  g as (select distinct source_id, file_path, e from ({_POLICY}) where {_VALID})
