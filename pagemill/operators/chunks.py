@@ -7,8 +7,9 @@ per document, and a document of any size spreads over the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from pagemill.functions import rules as R
 from pagemill.functions import text as X
 from pagemill.operators.blocks import MAX_CHARS, OVERLAP, blocks_of_page
 from pagemill.operators.ordered import carry_last, fold_groups
+from pagemill.storage import Scratch
 
 #: Characters up to which pieces of one table are put together again.
 TABLE_CHARS = 500_000
@@ -44,12 +46,11 @@ def _piece(page: int, idx: int, text: str) -> Piece:
     return Piece(page, idx, text, kind, page, R.flags(text, kind.block_type, kind.confidence))
 
 
-def _across_pages(rows: list[tuple[int, int, str]]) -> list[Piece]:
+def _across_pages(rows: Iterable[tuple[int, int, str]]) -> Iterator[Piece]:
     """The first block of a page goes to the last piece if that breaks off and this continues; marks of the piece stay as they were."""
-    out: list[Piece] = []
+    last: Piece | None = None
     for page, idx, text in rows:
         new = _piece(page, idx, text)
-        last = out[-1] if out else None
         if idx == 0 and last is not None and last.page <= page:
             kind = last.kind.block_type
             fits = kind in _RUNNING_TEXT or (kind == "formula" and new.kind.block_type == "formula")
@@ -59,8 +60,11 @@ def _across_pages(rows: list[tuple[int, int, str]]) -> list[Piece]:
                 last.kind = last.kind._replace(confidence=min(last.kind.confidence, 0.7))
                 last.swallowed.append(page)
                 continue
-        out.append(new)
-    return out
+        if last is not None:
+            yield last
+        last = new
+    if last is not None:
+        yield last
 
 
 def _new_rows(above: str, below: str) -> str | None:
@@ -99,24 +103,25 @@ def _continued(last: Piece, new: Piece, most: int) -> Piece | None:
     return Piece(last.page, last.idx, text, kind, max(last.end, new.end), R.flags(text, kind.block_type, kind.confidence), last.swallowed + new.swallowed)
 
 
-def merge_rows(rows: list[tuple[int, int, str]], most: int = MAX_CHARS) -> list[Piece]:
-    """The fold over one run of blocks (page, idx, text) in order."""
-    out: list[Piece] = []
+def merge_rows(rows: Iterable[tuple[int, int, str]], most: int = MAX_CHARS) -> Iterator[Piece]:
+    """The fold over one run of blocks (page, idx, text) in order; only the last piece is held."""
+    last: Piece | None = None
     for new in _across_pages(rows):
-        if out:
-            last = out[-1]
+        if last is not None:
             rest = _table_rest(last, new, most)
             if rest is not None:
                 text = f"{last.text.rstrip()}\n{rest}"
                 conf = min(last.kind.confidence, new.kind.confidence)
-                out[-1] = Piece(last.page, last.idx, text, R.Kind("table", None, conf), max(last.end, new.end), R.flags(text, "table", conf), last.swallowed + new.swallowed)
+                last = Piece(last.page, last.idx, text, R.Kind("table", None, conf), max(last.end, new.end), R.flags(text, "table", conf), last.swallowed + new.swallowed)
                 continue
             both = _continued(last, new, most)
             if both is not None:
-                out[-1] = both
+                last = both
                 continue
-        out.append(new)
-    return out
+            yield last
+        last = new
+    if last is not None:
+        yield last
 
 
 _FOLDED = (
@@ -146,20 +151,24 @@ def structural_chunks(pages: DataFrame, most: int = MAX_CHARS, overlap: int = OV
     """Pages (source_id, page, text) to chunks: chunk_id, doc_id, page, page_end, section_title, text, entities, source_ref, block_type,
     block_level, parent_header_id, structure_confidence, is_continuation, is_truncated, needs_review.
 
-    Defined cases: rows without source or page are left out; of several rows of one page the one with the smallest text that is
-    not blank counts (repeated deliveries are equal); null and blank texts have no chunks; extra columns are not read.
+    Defined cases: rows without source or page are left out; of several rows of one page the last one loaded whose text is not blank counts
+    (by ``loaded_at``, if there is such a column; of equal ones the smallest text); null and blank texts have no chunks; other columns are not read.
     """
-    one = pages.select(F.col("source_id").alias("doc_id"), F.col("page").cast("int").alias("page"), "text").filter("doc_id is not null and page is not null")
-    one = one.groupBy("doc_id", "page").agg(F.coalesce(F.min(F.when(F.col("text").rlike(r"[^\s\p{Z}]"), F.col("text"))), F.min("text")).alias("text"))
-    rows = one.mapInArrow(_cut_pages(most, overlap), "doc_id string, page int, idx int, text string, head boolean")
+    work = Scratch(pages.sparkSession, "chunks")
+    loaded = F.col("loaded_at").cast("timestamp") if "loaded_at" in pages.columns else F.lit(None).cast("timestamp")
+    one = pages.select(F.col("source_id").alias("doc_id"), F.col("page").cast("int").alias("page"), "text", loaded.alias("loaded")).filter("doc_id is not null and page is not null")
+    full = F.when(F.col("text").rlike(r"[^\s\p{Z}]"), F.struct((-F.coalesce(F.unix_micros("loaded"), F.lit(-(1 << 62)))).alias("age"), "text"))
+    one = one.groupBy("doc_id", "page").agg(F.min(full)["text"].alias("text")).filter("text is not null")
+    rows = work.cut(one.mapInArrow(_cut_pages(most, overlap), "doc_id string, page int, idx int, text string, head boolean"), "blocks")
     rows = carry_last(rows, F.when(F.col("head"), F.struct("page", "idx")), "run", inclusive=True)
 
-    def fold(group: list[dict]) -> list[tuple]:
-        done = merge_rows([(r["page"], r["idx"], r["text"]) for r in group], most)
-        return [(group[0]["doc_id"], p.page, p.idx, p.end, p.text, *p.kind, *p.marks, p.swallowed) for p in done]
+    def fold(group: Iterator[dict]) -> Iterator[tuple]:
+        first = next(group)
+        for p in merge_rows(((r["page"], r["idx"], r["text"]) for r in chain([first], group)), most):
+            yield first["doc_id"], p.page, p.idx, p.end, p.text, *p.kind, *p.marks, p.swallowed
 
     rows = rows.select("doc_id", F.col("run.page").alias("run_page"), F.col("run.idx").alias("run_idx"), "page", "idx", "text")
-    folded = fold_groups(rows, ["doc_id", "run_page", "run_idx"], ["page", "idx"], fold, _FOLDED)
+    folded = work.cut(fold_groups(rows, ["doc_id", "run_page", "run_idx"], ["page", "idx"], fold, _FOLDED, stream=True), "folded")
     shifted = folded.select("doc_id", F.explode("swallowed").alias("page")).distinct().withColumn("shift", F.lit(1))
     out = folded.join(shifted, ["doc_id", "page"], "left").withColumn("idx", F.col("idx") - F.coalesce("shift", F.lit(0)))
     out = out.withColumn("chunk_id", F.format_string("%s:p%d:b%d", "doc_id", "page", "idx"))
@@ -192,6 +201,7 @@ def enrich(chunks: DataFrame) -> DataFrame:
     rows = rows.withColumn("idx", F.regexp_extract("chunk_id", r":b(\d+)$", 1).cast("int"))
     if "formula_vars" not in rows.columns:
         rows = rows.withColumn("formula_vars", F.lit(None).cast("string"))
+    rows = Scratch(chunks.sparkSession, "enrich").cut(rows, "rows")
 
     def fold(todo: list[dict]) -> list[tuple]:
         out: list[dict] = []

@@ -33,11 +33,12 @@ def carry_last(rows: DataFrame, value: Column, name: str, doc: str = "doc_id", p
     return rows.join(ends, [doc, "_block"]).withColumn(name, F.coalesce("_inside", "_before")).drop("_block", "_value", "_inside", "_before")
 
 
-def fold_groups(rows: DataFrame, keys: list[str], order: list[str], fold: Callable[[list[dict]], Iterable[tuple]], schema: str | StructType) -> DataFrame:
+def fold_groups(rows: DataFrame, keys: list[str], order: list[str], fold: Callable[[list[dict]], Iterable[tuple]] | Callable[[Iterator[dict]], Iterable[tuple]], schema: str | StructType, stream: bool = False) -> DataFrame:
     """``fold`` over the rows of each group in order; its tuples are the result's rows.
 
     Groups are sorted inside the partitions of one shuffle and streamed through Arrow batches, so that many small groups cost no
-    call each. Only one group is held at a time. The key columns and the others reach the fold as plain values.
+    call each. Only one group is held at a time; with ``stream`` not even that, as the fold gets the group's rows one by one. The key columns and the
+    others reach the fold as plain values.
     """
     names = rows.columns
     target = rows.sparkSession.createDataFrame([], schema).schema
@@ -57,10 +58,11 @@ def fold_groups(rows: DataFrame, keys: list[str], order: list[str], fold: Callab
 
         out: list[tuple] = []
         for _, group in groupby(records(), key=lambda r: tuple(r[k] for k in keys)):
-            out += fold(list(group))
-            if len(out) >= BATCH:
-                yield packed(out)
-                out = []
+            for row in fold(group if stream else list(group)):
+                out.append(row)
+                if len(out) >= BATCH:
+                    yield packed(out)
+                    out = []
         if out:
             yield packed(out)
 

@@ -99,39 +99,52 @@ def table_text(matrix: Column) -> Column:
     return to_markdown(unwrapped(full))
 
 
-def sheet_rows(cells: DataFrame) -> DataFrame:
-    """Sheets that hold something: any cell that is not blank, or a head cell that does not begin with ``unnamed``.
+def _sheets(cells: DataFrame) -> DataFrame:
+    """source_id, sheet_idx, sheet, head, rule of each sheet that holds something: any cell that is not blank, or a head cell that does not begin with ``unnamed``.
 
-    ``cells``: source_id, sheet_idx, sheet, row_idx (0: head), cells. A sheet whose head is missing is judged by its cells.
+    ``cells``: source_id, sheet_idx, sheet, row_idx (0: head), cells. Sheets without a head row have none.
     """
     filled = F.exists("cells", lambda c: X.strip(F.coalesce(c, F.lit(""))) != "")
     named = F.exists("cells", lambda c: (X.strip(F.coalesce(c, F.lit(""))) != "") & ~F.lower(X.strip(F.coalesce(c, F.lit("")))).startswith("unnamed"))
-    good = cells.groupBy("source_id", "sheet_idx").agg(F.bool_or(F.when(F.col("row_idx") == 0, named).otherwise(filled)).alias("full")).filter("full")
-    return cells.join(good.select("source_id", "sheet_idx"), ["source_id", "sheet_idx"], "left_semi")
+    top = F.col("row_idx") == 0
+    rule = F.concat(F.lit("| "), F.array_join(F.transform("cells", lambda c: F.lit("---")), " | "), F.lit(" |"))
+    out = cells.groupBy("source_id", "sheet_idx").agg(F.min("sheet").alias("sheet"), F.bool_or(F.when(top, named).otherwise(filled)).alias("full"), F.min(F.when(top, _line())).alias("head"), F.min(F.when(top, rule)).alias("rule"))
+    return out.filter("full and head is not null").drop("full")
+
+
+def _line() -> Column:
+    return F.concat(F.lit("| "), F.array_join(F.transform("cells", X.cell_text), " | "), F.lit(" |"))
+
+
+def _text(title: Column, rows: Column) -> Column:
+    return F.concat(F.lit("# Лист: "), title, F.lit("\n\n[Таблица]\n"), F.concat_ws("\n", "head", "rule", F.when(rows != "", rows)))
+
+
+def _joined(rows: Column) -> Column:
+    return F.array_join(F.transform(F.array_sort(rows), lambda r: r["line"]), "\n")
 
 
 def sheet_pages(cells: DataFrame, split_chars: int = 0) -> DataFrame:
     """source_id, page, text: one markdown page per filled sheet, in tab order; with ``split_chars``, parts of about that size with the head repeated.
 
     Parts are cut where the running length passes a multiple of ``split_chars``, so the rows of a sheet are numbered by
-    a window over that sheet alone; a part is assembled from its own rows only.
+    a window over that sheet alone; a part is assembled from its own rows only. Sheets without a head row have no page.
     """
-    rows = sheet_rows(cells).withColumn("line", F.concat(F.lit("| "), F.array_join(F.transform("cells", X.cell_text), " | "), F.lit(" |")))
-    head = rows.filter("row_idx = 0").select("source_id", "sheet_idx", F.col("line").alias("head"), F.concat(F.lit("| "), F.array_join(F.transform("cells", lambda c: F.lit("---")), " | "), F.lit(" |")).alias("rule"))
-    body = rows.filter("row_idx > 0").join(head, ["source_id", "sheet_idx"])
+    by_sheet = ["source_id", "sheet_idx"]
+    heads = _sheets(cells)
+    body = cells.filter("row_idx > 0").select(*by_sheet, "row_idx", _line().alias("line"))
     part = F.lit(0)
     if split_chars > 0:
-        size = F.sum(F.length("line") + 1).over(Window.partitionBy("source_id", "sheet_idx").orderBy("row_idx"))
-        room = F.greatest(F.lit(1), F.lit(split_chars) - F.length("head") - F.length("rule") - 2)
-        part = F.floor((size - 1) / room).cast("int")
-    body = body.withColumn("part", part)
-    parts = body.groupBy("source_id", "sheet_idx", "sheet", "head", "rule", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "line"))), lambda r: r["line"]), "\n").alias("rows"))
-    bare = head.join(rows.select("source_id", "sheet_idx", "sheet").distinct(), ["source_id", "sheet_idx"]).join(body.select("source_id", "sheet_idx").distinct(), ["source_id", "sheet_idx"], "left_anti")
-    parts = parts.unionByName(bare.withColumn("part", F.lit(0)).withColumn("rows", F.lit("")))
-    order = Window.partitionBy("source_id", "sheet_idx").orderBy("part")
-    parts = parts.withColumn("i", F.row_number().over(order)).withColumn("n", F.count("*").over(Window.partitionBy("source_id", "sheet_idx")))
-    title = F.when(F.col("n") == 1, F.col("sheet")).otherwise(F.format_string("%s (часть %d/%d)", "sheet", "i", "n"))
-    text = F.concat(F.lit("# Лист: "), title, F.lit("\n\n[Таблица]\n"), F.concat_ws("\n", "head", "rule", F.when(F.col("rows") != "", F.col("rows"))))
-    page = F.row_number().over(Window.partitionBy("source_id").orderBy("sheet_idx", "i"))
-    return parts.select("source_id", page.alias("page"), text.alias("text"))
-
+        body = body.join(heads.select(*by_sheet, (F.length("head") + F.length("rule")).alias("top")), by_sheet)
+        size = F.sum(F.length("line") + 1).over(Window.partitionBy(*by_sheet).orderBy("row_idx"))
+        part = F.floor((size - 1) / F.greatest(F.lit(1), F.lit(split_chars) - F.col("top") - 2)).cast("int")
+    parts = body.withColumn("part", part).groupBy(*by_sheet, "part").agg(_joined(F.collect_list(F.struct("row_idx", "line"))).alias("rows"))
+    parts = heads.join(parts, by_sheet, "left").fillna({"part": 0, "rows": ""})
+    if split_chars > 0:
+        sheet = Window.partitionBy(*by_sheet)
+        parts = parts.withColumns({"i": F.row_number().over(sheet.orderBy("part")), "n": F.count("*").over(sheet)})
+        title = F.when(F.col("n") == 1, F.col("sheet")).otherwise(F.format_string("%s (часть %d/%d)", "sheet", "i", "n"))
+    else:
+        title = F.col("sheet")
+    page = F.row_number().over(Window.partitionBy("source_id").orderBy("sheet_idx", "part"))
+    return parts.select("source_id", page.alias("page"), _text(title, F.col("rows")).alias("text"))

@@ -50,10 +50,10 @@ def test_continuation_across_pages(spark):
 
 
 def test_continuation_in_a_fold():
-    one = C.merge_rows([(1, 0, WORDS), (1, 1, "слово и далее.")])
+    one = list(C.merge_rows([(1, 0, WORDS), (1, 1, "слово и далее.")]))
     assert [(p.kind.block_type, p.kind.confidence, p.marks[1:]) for p in one] == [("paragraph", 0.7, (False, True))]
     head = "| a | b |\n| --- | --- |"
-    table = C.merge_rows([(1, 0, f"[Таблица]\n{head}\n| 1 | 2 |"), (2, 0, f"[Таблица]\n{head}\n| 3 | 4 |")])
+    table = list(C.merge_rows([(1, 0, f"[Таблица]\n{head}\n| 1 | 2 |"), (2, 0, f"[Таблица]\n{head}\n| 3 | 4 |")]))
     assert [p.text for p in table] == [f"[Таблица]\n{head}\n| 1 | 2 |\n| 3 | 4 |"] and table[0].end == 2
 
 
@@ -65,7 +65,7 @@ def test_runs_do_not_depend_on_partitions(spark):
     expect = {}
     for d in range(3):
         flat = [(p, i, b) for s, p, t in rows if s == f"d{d}" for i, b in enumerate(B.blocks_of(B.repair_rows(B.break_points(B.normalize(t)))))]
-        done = C.merge_rows(flat)
+        done = list(C.merge_rows(flat))
         gone = {p for piece in done for p in piece.swallowed}
         head = None
         for piece in done:
@@ -96,3 +96,17 @@ def test_blank_delivery_does_not_win(spark):
 def test_empty(spark):
     empty = pages(spark).filter(F.lit(False))
     assert C.structural_chunks(empty).count() == 0 and C.enrich(C.structural_chunks(empty)).count() == 0
+
+
+def test_of_differing_deliveries_the_last_full_one_counts(spark):
+    rows = [("d", 1, "Первый текст здесь.", "2020-01-02"), ("d", 1, "Абзац, что был раньше.", "2020-01-01"), ("d", 1, "  ", "2020-01-03"), ("e", 1, "Без времени.", None), ("e", 1, "Со временем тут.", "2020-01-01")]
+    pages = spark.createDataFrame(rows, "source_id string, page int, text string, loaded_at string")
+    assert {r.doc_id: r.text for r in C.structural_chunks(pages).collect()} == {"d": "Первый текст здесь.", "e": "Со временем тут."}
+
+
+def test_python_runs_once_per_stage(spark):
+    """Blocks and folds are written once, so that what is built on them runs in the JVM; enrichment adds one fold."""
+    pages = spark.createDataFrame([("d", 1, "Текст здесь.")], "source_id string, page int, text string")
+    stages = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    made = C.structural_chunks(pages)
+    assert stages(made) == 0 and stages(C.enrich(made)) == 1
