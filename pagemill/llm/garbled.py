@@ -282,6 +282,8 @@ def _scan(cond: list[list[float]], signs: dict[str, float]):
 ROUNDS, TRUST, OWN_STARTS = 12, 5.0, 10
 #: What a mapping that no code page gives must gain: the choice of one of all orders of the letters.
 OWN_COST = float(np.log(np.arange(1, len(charmodel.LETTERS) + 1)).sum())
+#: What a single letter other than the public swap's must gain: the choice of one symbol and one letter.
+EXCEPTION_COST = float(np.log(2 * len(charmodel.LETTERS) ** 2))
 #: Log-likelihood a letter pair by which a public swap may stay below the corpus' own text before other mappings are tried.
 NEAR = 0.35
 
@@ -371,6 +373,14 @@ def learn_mapping(pairs: pd.DataFrame, cipher: str, joint: np.ndarray, rounds: i
         found = _expect(np.pad(counts, (0, 1)), start, language, rounds)
         letter = np.concatenate(([0], 1 + np.argmax(found[1:, 1:-1], 0)))
         best = _likelihood(counts, letter, joint)
+        for s in names:
+            at = charmodel.NUMBER.get(given[s].lower())
+            if at and letter[index[s]] != at:
+                public = letter.copy()
+                public[index[s]] = at
+                value = _likelihood(counts, public, joint)
+                if best - value < EXCEPTION_COST:
+                    best, letter = value, public
     total = counts.sum()
     if letter is None or best < (own_text - NEAR) * total and own_text * total - OWN_COST > best:
         chance = np.random.default_rng(len(names))
