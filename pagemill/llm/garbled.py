@@ -280,8 +280,8 @@ def _scan(cond: list[list[float]], signs: dict[str, float]):
 
 #: Rounds of expectation-maximization, the weight in occurrences of what a public start says of a symbol, and starts from the source's own counts.
 ROUNDS, TRUST, OWN_STARTS = 12, 5.0, 10
-#: What a mapping that no code page gives must gain: the choice of one of all orders of the letters.
-OWN_COST = float(np.log(np.arange(1, len(charmodel.LETTERS) + 1)).sum())
+#: What a mapping that no code page gives must gain for each symbol: the choice of its letter.
+OWN_COST = float(np.log(len(charmodel.LETTERS)))
 #: What a single letter other than the public swap's must gain: the choice of one symbol and one letter.
 EXCEPTION_COST = float(np.log(2 * len(charmodel.LETTERS) ** 2))
 #: Log-likelihood a letter pair by which a public swap may stay below the corpus' own text before other mappings are tried.
@@ -362,8 +362,8 @@ def learn_mapping(pairs: pd.DataFrame, cipher: str, joint: np.ndarray, rounds: i
     free = np.arange(len(names) + 1) > 0
     own_text = float((language * joint).sum())
     given = {s: seed(s, cipher) for s in names}
-    best, letter = -np.inf, None
-    if cipher != "unknown":
+    best, letter, public_holds = -np.inf, None, cipher != "unknown"
+    if public_holds:
         start = np.full((size, len(names) + 2), 0.02)  # the last column: symbols that do not occur here
         start[:, 0], start[0, :], start[0, 0] = 0, 0, 1
         for s in names:
@@ -382,10 +382,10 @@ def learn_mapping(pairs: pd.DataFrame, cipher: str, joint: np.ndarray, rounds: i
                 if best - value < EXCEPTION_COST:
                     best, letter = value, public
     total = counts.sum()
-    if letter is None or best < (own_text - NEAR) * total and own_text * total - OWN_COST > best:
+    if letter is None or best < (own_text - NEAR) * total and own_text * total - OWN_COST * len(names) > best:
         chance = np.random.default_rng(len(names))
         letters = np.argsort(-language.sum(1)[1:], kind="stable") + 1
-        cost = 0.0 if letter is None else OWN_COST
+        known, cost = letter is not None, 0.0 if letter is None else OWN_COST * len(names)
         for k in range(OWN_STARTS if total > 300 else 1):
             ranks = counts.sum(1)[1:] * np.exp(0.25 * chance.standard_normal(len(names)) * (k > 0))
             start = np.full((size, len(names) + 1), 0.02)
@@ -396,9 +396,12 @@ def learn_mapping(pairs: pd.DataFrame, cipher: str, joint: np.ndarray, rounds: i
                 start[letters, s] += share / share.sum()
             found = _expect(counts, start, language, 4 * rounds)
             value, trial = _settle(counts, np.concatenate(([0], 1 + np.argmax(found[1:, 1:], 0))), joint, free)
-            if value - cost > best:
-                best, letter = value - cost, trial
-    return {s: charmodel.LETTERS[at - 1].upper() if given[s].isupper() else charmodel.LETTERS[at - 1] for s, at in zip(names, letter[1:])}
+            if value - cost > best and not (known and value < (own_text - NEAR) * total):  # beside a public swap it must read as the corpus does
+                best, letter, public_holds = value - cost, trial, False
+    out = {s: charmodel.LETTERS[at - 1].upper() if given[s].isupper() else charmodel.LETTERS[at - 1] for s, at in zip(names, letter[1:])}
+    if public_holds and not cipher.startswith("utf8:"):  # symbols that did not occur
+        out = {**{s: c for s, c in _single(*cipher.split(">")).items() if c in _LETTER}, **out}
+    return out
 
 
 def _pairs(tokens: DataFrame) -> DataFrame:
@@ -482,7 +485,7 @@ def garbled_rows(pages: DataFrame) -> DataFrame:
     cond = charmodel.conditional(joint)
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("source_id", F.lit("")).alias("source_id"), "parser", "text").filter("page_id is not null")
     tokens = work.cut(rows.mapInArrow(_scan(cond, signs), "page_id bigint, source_id string, cipher string, token string, coded string, sure boolean, evidence boolean"), "tokens")
-    maps = work.cut(_mappings(_pairs(tokens), joint), "maps")
+    maps = work.cut(_mappings(_pairs(tokens.filter("evidence")), joint), "maps")
     decoded = tokens.join(maps, ["source_id", "cipher"], "left").withColumn("text", F.expr("coalesce(translate(coded, `from`, `to`), coded)"))
     return decoded.select("page_id", "cipher", "token", "sure", "evidence", "text").mapInArrow(_judge(cond, signs), "page_id bigint, token string, restored string, evidence boolean")
 
