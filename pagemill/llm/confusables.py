@@ -249,6 +249,8 @@ def found_forms(pages: DataFrame) -> DataFrame:
 
 def normal_form(text: str, right: dict[str, str]) -> str:
     """The page in its one form; ``right``: originals -> their right spelling."""
+    if not right and unicodedata.is_normalized("NFC", text) and not any(kind(c) for c in set(_RARE.findall(text))):
+        return text
     bad = garbled_tokens(text)
 
     def token(m: re.Match) -> str:
