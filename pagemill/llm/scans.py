@@ -41,8 +41,8 @@ BREAKS = "-‐‑¬–\xad⁃"
 RATIO, FEW, COMMON_RATIO, SIGN_LEAST = 8, 2, 25, 2
 #: Words of context that a vector counts, its dimensions, and how far a word's context reaches to either side.
 CONTEXTS, DIMENSIONS, WINDOW = 512, 32, 3
-#: Cosine that links a word to one RATIO times as frequent (each doubling of the ratio lowers it by SLOPE) and a suspect token to its class.
-MIN_FIT, SLOPE, CLASS_FIT = 0.12, 0.02, 0.1
+#: Cosine that links a word to one RATIO times as frequent (each doubling of the ratio lowers it by SLOPE, to LEAST_FIT) and a suspect token to its class.
+MIN_FIT, SLOPE, LEAST_FIT, CLASS_FIT = 0.12, 0.02, 0.02, 0.1
 #: Contexts of its class that are added to those of a rare word.
 SHRINK = 8.0
 #: Words from MIN_COUNT occurrences that need no look at each occurrence: the most frequent ones without links. Which are left out changes the speed only.
@@ -339,7 +339,7 @@ def accept_links(links: DataFrame, suspects: DataFrame, vectors: DataFrame, mode
     """word, reading, ratio: the links that the vectors bear out; suspect tokens (word, class) without one get a null reading if they fit their class."""
     mine, other = vectors.select("word", F.col("vector").alias("v")), vectors.select(F.col("word").alias("reading"), F.col("vector").alias("r"))
     fit = links.join(mine, "word").join(other, "reading").withColumn("fit", _dot("v", "r"))
-    held = fit.filter(F.col("fit") >= MIN_FIT - SLOPE * F.log2(F.col("ratio") / RATIO)).select("word", "reading", "ratio")
+    held = fit.filter(F.col("fit") >= F.greatest(F.lit(LEAST_FIT), MIN_FIT - SLOPE * F.log2(F.col("ratio") / RATIO))).select("word", "reading", "ratio")
     classes = F.array(*(F.array(*(F.lit(float(x)) for x in v)) for v in model.classes))
     rest = suspects.join(held, "word", "left_anti").join(mine, "word").withColumn("r", F.get(classes, F.col("class")))
     rest = rest.filter(_dot("v", "r") >= CLASS_FIT).select("word").distinct()
